@@ -11,8 +11,8 @@ GRID_DEGREES = 0.5
 def derive_zone(lat: Column, lon: Column) -> Column:
     """Zone id of the half-degree cell: ``Z_`` and six hex digits of its MD5."""
     corner = [F.floor(c / GRID_DEGREES).cast("bigint") * F.lit(GRID_DEGREES) for c in (lat, lon)]
-    return F.concat(F.lit("Z_"),
-                    F.upper(F.substring(F.md5(F.format_string("%.1f_%.1f", *corner)), 1, 6)))
+    digits = F.upper(F.substring(F.md5(F.format_string("%.1f_%.1f", *corner)), 1, 6))
+    return F.when(lat.isNotNull() & lon.isNotNull(), F.concat(F.lit("Z_"), digits))
 
 
 def infra_of(experiment: Column) -> Column:

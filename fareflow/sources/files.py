@@ -81,8 +81,9 @@ def write_marts(marts: dict[str, DataFrame], out: str) -> None:
         (marts[name].hint("rebalance", *parts).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{out}/{name}"))
 
+    session = next(iter(marts.values())).sparkSession
     with ThreadPoolExecutor(max_workers=len(marts)) as pool:
-        list(pool.map(inheritable_thread_target(write), marts))
+        list(pool.map(inheritable_thread_target(session)(write), marts))
 
 
 def read_mart(spark: SparkSession, out: str, name: str) -> DataFrame:
