@@ -182,13 +182,14 @@ def backlog_growth(spark, sf):
     return out.select("event_id", F.col("backlog").cast("double").alias("backlog"))
 
 
-@case("""SELECT experiment_name, metric_name, count(*) AS n, sum(CAST(value AS DECIMAL(12,2)))::DOUBLE AS total,
+@case("""SELECT city_id AS experiment_name, metric_name, count(*) AS n, sum(CAST(value AS DECIMAL(12,2)))::DOUBLE AS total,
   strftime(max(timestamp), '%Y-%m-%d %H:%M:%S.%f') AS last_at FROM samples GROUP BY ALL""")
 def metrics_csv_roundtrip(spark, sf):
     """Written as metric CSV by experiment, read back, and joined as one set."""
-    rows = p.samples(spark, sf).withColumn("timestamp", p.iso_text("timestamp"))
+    rows = p.samples(spark, sf).withColumn("timestamp", p.iso_text("timestamp")).withColumn(
+        "experiment_name", F.col("city_id"))
     one, two = shared_dir(spark, "metrics-a"), shared_dir(spark, "metrics-b")
-    hot = F.col("city_id") == "MUM"
+    hot = F.col("k") < 30
     files.write_metrics(rows.filter(hot), one)
     files.write_metrics(rows.filter(~hot), two)
     both = files.union_experiments([files.read_metrics(spark, one), files.read_metrics(spark, two)])
@@ -219,9 +220,16 @@ def latencies(spark, sf):
     return p.samples(spark, sf).select("experiment_name", F.col("value").alias("processing_latency_ms"))
 
 
-@case("""SELECT experiment_name, round(avg(value::DECIMAL(22,6)) + 1e-9, 0) AS avg_ms, round(quantile_cont(value, 0.5) + 1e-9, 0) AS p50_ms,
-  round(quantile_cont(value, 0.95) + 1e-9, 0) AS p95_ms, round(quantile_cont(value, 0.99) + 1e-9, 0) AS p99_ms,
-  count(*) AS sample_count FROM samples GROUP BY experiment_name""")
+def interpolated(point: str) -> str:
+    """SQL for the value at a point of the sorted list ``v``."""
+    at = f"((len(v) - 1) * {point}::DOUBLE)"
+    low, high = f"v[1 + CAST(floor{at} AS INT)]", f"v[1 + CAST(ceil{at} AS INT)]"
+    return f"round({low} + ({high} - {low}) * ({at} - floor{at}), 0)"
+
+
+@case(f""", g AS (SELECT experiment_name, list_sort(list(value)) AS v, avg(value::DECIMAL(22,6)) AS m FROM samples GROUP BY experiment_name)
+SELECT experiment_name, round(m + 1e-9, 0) AS avg_ms, {interpolated('0.5')} AS p50_ms, {interpolated('0.95')} AS p95_ms,
+  {interpolated('0.99')} AS p99_ms, len(v) AS sample_count FROM g""")
 def latency_percentiles_exact(spark, sf):
     return reports.latency_percentiles(latencies(spark, sf), exact=True)
 
@@ -332,8 +340,10 @@ def reduction_vs_baseline(spark, sf):
     return ex.reduction_vs_baseline(points, "city_id")
 
 
-@case("""SELECT event_id, k, value FROM (SELECT *, 100 - k + value / 7 AS y FROM ev) e WHERE NOT EXISTS (
-  SELECT 1 FROM ev q WHERE q.value <= e.value AND 100 - q.k + q.value / 7 <= e.y AND (q.value < e.value OR 100 - q.k + q.value / 7 < e.y))""")
+@case(""", pts AS (SELECT event_id, k, value, 100 - k + value / 7 AS y FROM ev),
+ best AS (SELECT value, min(y) AS y FROM pts GROUP BY value),
+ run AS (SELECT *, min(y) OVER (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM best)
+SELECT event_id, k, pts.value FROM pts JOIN run ON pts.value = run.value AND pts.y = run.y AND (before IS NULL OR run.y < before)""")
 def pareto_frontier(spark, sf):
     points = p.ev(spark, sf).withColumn("y", F.lit(100) - F.col("k") + F.col("value") / 7)
     return ex.pareto_frontier(points, "value", "y").select("event_id", "k", "value")

@@ -298,10 +298,10 @@ def batch_guard(spark, sf):
 
 
 @case("""SELECT n AS event_id FROM req WHERE request_id IN
-  (SELECT request_id FROM req GROUP BY request_id HAVING count(*) <= 250)""")
+  (SELECT request_id FROM req GROUP BY request_id HAVING count(*) <= 300)""")
 def batch_admit(spark, sf):
     bodies = p.requests(spark, sf)
-    verdicts = events.request_verdicts(bodies.select("request_id").distinct(), bodies, limit=250)
+    verdicts = events.request_verdicts(bodies.select("request_id").distinct(), bodies, limit=300)
     return events.admit(bodies, verdicts).select("event_id")
 
 

@@ -112,7 +112,7 @@ def register_marts(spark: SparkSession, out: str, names=tuple(MART_PARTITIONS),
 def write_metrics(samples: DataFrame, root: str) -> None:
     """Long-format CSV, one folder per experiment."""
     rows = samples.select(*schemas.METRIC.names)
-    (rows.withColumn("experiment", F.col("experiment_name")).write.mode("overwrite")
+    (rows.withColumn("experiment", F.col("experiment_name")).hint("rebalance", "experiment").write.mode("overwrite")
      .partitionBy("experiment").option("header", True).csv(root))
 
 
