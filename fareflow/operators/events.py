@@ -26,8 +26,17 @@ DEFAULT_VEHICLE, DEFAULT_BATTERY = "unknown", -1
 
 def decode_events(envelope: DataFrame) -> DataFrame:
     """JSON ``value`` to GPS columns; the broker time becomes ``kafka_ts``."""
-    parsed = F.from_json(F.col("value").cast("string"), schemas.GPS_EVENT).alias("d")
-    return envelope.select(parsed, F.col("timestamp").alias("kafka_ts")).select("d.*", "kafka_ts")
+    parsed = F.from_json(F.col("value").cast("string"), schemas.GPS_EVENT)
+    return envelope.select(once(parsed), F.col("timestamp").alias("kafka_ts"))
+
+
+def once(struct: Column) -> Column:
+    """The fields of a struct, computed once per row.
+
+    A filter on a plain projection is pushed below it and repeats the parsing
+    for every field it tests; it is not pushed below a generator.
+    """
+    return F.inline(F.array(struct))
 
 
 def drop_keyless(events: DataFrame) -> DataFrame:
@@ -38,13 +47,11 @@ def decode_with_faults(envelope: DataFrame) -> DataFrame:
     """Decode and name what is wrong: null, ``malformed`` or ``missing_key``."""
     schema = T.StructType(schemas.GPS_EVENT.fields + [T.StructField("_corrupt_record", T.StringType())])
     parsed = F.from_json(F.col("value").cast("string"), schema,
-                         {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("d")
-    keyless = F.col("d.zone_id").isNull() | F.col("d.status").isNull()
-    fault = (F.when(F.col("d._corrupt_record").isNotNull() | F.col("d").isNull(), "malformed")
-             .when(keyless, "missing_key"))
-    fields = [F.col(f"d.{name}") for name in schemas.GPS_EVENT.names]
-    return (envelope.select("value", parsed, F.col("timestamp").alias("kafka_ts"))
-            .select(*fields, "kafka_ts", "value", fault.alias("fault")))
+                         {"columnNameOfCorruptRecord": "_corrupt_record"})
+    fault = (F.when(F.col("_corrupt_record").isNotNull() | F.col("value").isNull(), "malformed")
+             .when(F.col("zone_id").isNull() | F.col("status").isNull(), "missing_key"))
+    return (envelope.select(once(parsed), F.col("timestamp").alias("kafka_ts"), "value")
+            .withColumn("fault", fault).drop("_corrupt_record"))
 
 
 def accepted_events(decoded: DataFrame) -> DataFrame:
