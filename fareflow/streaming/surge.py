@@ -89,3 +89,9 @@ def windows_table(spark, job: SurgeJob) -> DataFrame:
 
 def surge_table(spark, job: SurgeJob) -> DataFrame:
     return keyed.read_current(spark, f"{job.root}/surge_pricing", RECORD_KEYS)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Aggregated rows that came behind the watermark, over the recent batches."""
+    return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress
+               for op in batch["stateOperators"])
