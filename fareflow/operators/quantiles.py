@@ -82,6 +82,12 @@ def _value(total: Column, i: int, p: float, method: str) -> Column:
     return low + (F.col(f"__p{i}_1") - low) * (exact - F.floor(exact))
 
 
+def nearest_rank(ordered: Column, p: float) -> Column:
+    """The ``nearest`` percentile of a short sorted array; 0 if it is empty."""
+    n = F.size(ordered)
+    return F.coalesce(F.get(ordered, F.least(F.floor(n * F.lit(float(p))).cast("int"), n - 1)), F.lit(0.0))
+
+
 def approx_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
                      accuracy: int = 10000) -> DataFrame:
     """Sketch percentiles: one shuffle, error below 1/accuracy of the rank."""

@@ -9,7 +9,7 @@ from fareflow.functions.numeric import count_if, exact_mean, rounded, sink_decim
 from fareflow.functions.pricing import NO_SURGE, demand_ratio, surge_multiplier
 from fareflow.functions.timeparts import latency_ms, parse_event_ts
 from fareflow.operators.keys import best_row, join_on_keys
-from fareflow.operators.quantiles import exact_quantiles
+from fareflow.operators.quantiles import exact_quantiles, nearest_rank
 
 
 def on_trip() -> Column:
@@ -54,13 +54,18 @@ def with_latency(zones: DataFrame, batch_start: Column) -> DataFrame:
     return zones.withColumn("e2e_latency_ms", latency_ms(batch_start, F.col("min_event_ts")))
 
 
-def batch_kpis(zones: DataFrame, window_seconds: int, batch: str = "batch_id") -> DataFrame:
+def batch_kpis(zones: DataFrame, window_seconds: int, batch: str = "batch_id", small: bool = False) -> DataFrame:
     """One row per micro-batch from deduplicated zones with surge and latency.
 
     Average demand is the ratio of the sums, not the mean of the zone ratios.
+    ``small`` sorts a batch's latencies inside the one aggregate. Set it only
+    after checking the row count; otherwise the tails are ranked in parallel.
     """
     waiting, free = F.sum("on_trip_count"), F.sum("available_count")
     seconds = max(window_seconds, 1)
+    points = {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}
+    sorted_in_place = [nearest_rank(F.sort_array(F.collect_list("e2e_latency_ms")), p).alias(name)
+                       for name, p in points.items()]
     totals = zones.groupBy(batch).agg(
         F.sum("total_events").alias("events"),
         rounded(F.sum("total_events") / F.lit(float(seconds)), 2).alias("events_per_second"),
@@ -69,11 +74,12 @@ def batch_kpis(zones: DataFrame, window_seconds: int, batch: str = "batch_id") -
         waiting.alias("waiting_riders"),
         free.alias("available_drivers"),
         rounded(waiting / F.greatest(free, F.lit(1)), 4).alias("avg_demand_ratio"),
-        rounded(exact_mean(F.col("e2e_latency_ms")), 2).alias("avg_latency_ms"))
-    tails = exact_quantiles(zones, [batch], "e2e_latency_ms",
-                            {"p95_latency_ms": 0.95, "p99_latency_ms": 0.99}, method="nearest")
-    tails = tails.select(batch, *[rounded(F.col(c), 2).alias(c) for c in ("p95_latency_ms", "p99_latency_ms")])
-    return join_on_keys(totals, tails, [batch], "left").withColumn(
+        rounded(exact_mean(F.col("e2e_latency_ms")), 2).alias("avg_latency_ms"),
+        *(sorted_in_place if small else []))
+    if not small:
+        tails = exact_quantiles(zones, [batch], "e2e_latency_ms", points, method="nearest")
+        totals = join_on_keys(totals, tails, [batch], "left")
+    return totals.withColumns({name: rounded(F.col(name), 2) for name in points}).withColumn(
         "window_size_sec", F.lit(window_seconds))
 
 
