@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from fareflow.functions.numeric import eps_per_dollar, exact_mean, rounded
 from fareflow.functions.places import infra_of
 from fareflow.operators.keys import join_on_keys
-from fareflow.operators.ordered import over_neighbours, with_index
+from fareflow.operators.ordered import (BLOCK, SERIES, before, carry, in_block, over_neighbours, whole,
+                                        with_block, with_index)
 from fareflow.operators.quantiles import exact_quantiles
 
 LATENCY, THROUGHPUT, SURGE = ("spark_batch_latency_ms", "spark_kafka_events_per_second",
@@ -186,11 +187,13 @@ def rolling_latency(samples: DataFrame, keys: list[str], ts: str = "timestamp",
 def elapsed_axis(samples: DataFrame, keys: list[str], ts: str = "timestamp", step_seconds: int = 10,
                  ties: list | None = None) -> DataFrame:
     """Nominal seconds (position times step) and true seconds since the first sample."""
-    firsts = samples.groupBy(*keys).agg(F.min(ts).alias("__first"))
-    indexed = join_on_keys(with_index(samples, keys, ts, ties), firsts, keys)
+    rows = carry(with_block(samples, keys, ts), {"__n": F.count("*"), "__min": F.min(ts)},
+                 {"__start": F.coalesce(F.sum("__n").over(before()), F.lit(0)),
+                  "__first": F.min("__min").over(whole())})
+    place = F.col("__start") + F.row_number().over(in_block([ts, *(ties or [])])) - 1
     true_seconds = (F.unix_micros(ts) - F.unix_micros("__first")) / F.lit(1e6)
-    return (indexed.withColumn("elapsed_s", F.col("idx") * step_seconds)
-            .withColumn("true_elapsed_s", true_seconds).drop("__first"))
+    return (rows.withColumn("idx", place.cast("bigint")).withColumn("elapsed_s", F.col("idx") * step_seconds)
+            .withColumn("true_elapsed_s", true_seconds).drop("__start", "__first", SERIES, BLOCK))
 
 
 def pair_fault_events(events: DataFrame, key: str = "experiment_name", order: str = "row_id") -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from fareflow.functions.numeric import exact_mean, rounded
 from fareflow.operators.keys import join_on_keys
-from fareflow.operators.ordered import (BLOCK, before, carry, over_neighbours, up_to_row, with_block,
-                                        with_index)
+from fareflow.operators.ordered import (BLOCK, SERIES, before, carry, in_block, over_neighbours, up_to_row,
+                                        with_block, with_index)
 
 # Metrics kept, and the two alarms.
 METRICS_KEPT = ("spark_batch_latency_ms", "spark_kafka_events_per_second", "spark_active_surge_zones",
@@ -123,10 +123,9 @@ def no_data_streak(samples: DataFrame, keys: list[str], interval_seconds: int =
     """
     slot = F.floor(F.unix_micros(F.col(ts)) / F.lit(interval_seconds * 1_000_000)).cast("bigint")
     slots = samples.groupBy(*keys, slot.alias("slot")).agg(F.min(ts).alias("__at"))
-    blocked = with_block(slots, "__at")
-    rows = carry(blocked, keys, {"__hi": F.max("slot")}, {"__earlier": F.max("__hi").over(before(keys))})
-    w = Window.partitionBy(*keys, BLOCK).orderBy("slot")
-    gaps = rows.withColumn("__prev", F.coalesce(F.lag("slot").over(w), F.col("__earlier")))
+    rows = carry(with_block(slots, keys, "__at"), {"__hi": F.max("slot")},
+                 {"__earlier": F.max("__hi").over(before())})
+    gaps = rows.withColumn("__prev", F.coalesce(F.lag("slot").over(in_block(["slot"])), F.col("__earlier")))
     empty = F.col("slot") - F.col("__prev") - 1
     at = lambda s: F.timestamp_seconds(s * interval_seconds)
     return gaps.filter(empty >= streak).select(
@@ -143,14 +142,13 @@ def outage_intervals(samples: DataFrame, keys: list[str], ts: str = "timestamp",
     """
     order = [F.col(ts), *(ties or [])]
     live = F.col(value) != 0
-    blocked = with_block(samples.filter(F.col(value).isNotNull()), ts)
-    start = F.coalesce(F.sum("__n").over(before(keys)), F.lit(0))
-    rows = carry(blocked, keys, {"__n": F.count("*")}, {"__start": start})
-    rows = rows.withColumn("__idx", F.col("__start") + F.row_number().over(
-        Window.partitionBy(*keys, BLOCK).orderBy(*order)))
-    rows = carry(rows, keys, {"__hi": F.max(F.when(live, F.col("__idx")))},
-                 {"__earlier": F.max("__hi").over(before(keys))})
-    strictly = up_to_row(keys, order).rowsBetween(Window.unboundedPreceding, -1)
+    blocked = with_block(samples.filter(F.col(value).isNotNull()), keys, ts)
+    start = F.coalesce(F.sum("__n").over(before()), F.lit(0))
+    rows = carry(blocked, {"__n": F.count("*")}, {"__start": start})
+    rows = rows.withColumn("__idx", F.col("__start") + F.row_number().over(in_block(order)))
+    rows = carry(rows, {"__hi": F.max(F.when(live, F.col("__idx")))},
+                 {"__earlier": F.max("__hi").over(before())})
+    strictly = in_block(order).rowsBetween(Window.unboundedPreceding, -1)
     last_live = F.coalesce(F.max(F.when(live, F.col("__idx"))).over(strictly), F.col("__earlier"), F.lit(0))
     runs = rows.withColumn("__run", last_live).groupBy(*keys, "__run").agg(
         F.min(F.when(~live, F.col(ts))).alias("detected_at"),
@@ -168,15 +166,14 @@ def backlog_growth(samples: DataFrame, keys: list[str], ts: str = "timestamp", i
     0). Both carry over block borders, so no series is sorted whole.
     """
     order = [F.col(ts), *(ties or [])]
-    blocked = with_block(samples.withColumn("__d", F.coalesce(F.col(incoming), F.lit(0))
-                                            - F.coalesce(F.col(processed), F.lit(0))), ts)
-    w = up_to_row(keys, order)
-    rows = carry(blocked, keys, {"__sum": F.sum("__d")},
-                 {"__base": F.coalesce(F.sum("__sum").over(before(keys)), F.lit(0))})
+    change = F.coalesce(F.col(incoming), F.lit(0)) - F.coalesce(F.col(processed), F.lit(0))
+    w = up_to_row(order)
+    rows = carry(with_block(samples.withColumn("__d", change), keys, ts), {"__sum": F.sum("__d")},
+                 {"__base": F.coalesce(F.sum("__sum").over(before()), F.lit(0))})
     rows = rows.withColumn("__s", F.col("__base") + F.sum("__d").over(w))
-    rows = carry(rows, keys, {"__min": F.min("__s")}, {"__low": F.min("__min").over(before(keys))})
+    rows = carry(rows, {"__min": F.min("__s")}, {"__low": F.min("__min").over(before())})
     floor = F.least(F.lit(0), F.coalesce(F.col("__low"), F.lit(0)), F.min("__s").over(w))
-    return rows.withColumn("backlog", F.col("__s") - floor).drop("__d", "__base", "__s", "__low", BLOCK)
+    return rows.withColumn("backlog", F.col("__s") - floor).drop("__d", "__base", "__s", "__low", SERIES, BLOCK)
 
 
 def sla_check(samples: DataFrame, keys: list[str], latency: str, limit_ms: float = 5000) -> DataFrame:

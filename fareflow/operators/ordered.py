@@ -11,48 +11,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.operators.keys import join_on_keys
-
-BLOCK = "__block"
+SERIES, BLOCK = "__series", "__block"
 BLOCK_SECONDS = 3600
 
 
-def with_block(df: DataFrame, ts: str, seconds: int = BLOCK_SECONDS) -> DataFrame:
-    return df.withColumn(BLOCK, F.floor(F.unix_micros(F.col(ts)) / F.lit(seconds * 1_000_000)).cast("bigint"))
+def with_block(df: DataFrame, keys: list[str], ts: str, seconds: int = BLOCK_SECONDS) -> DataFrame:
+    """Add the series (its keys as one struct) and the time block of each row.
+
+    Structs with null fields are equal to each other, so a plain equi-join keeps
+    null keys, and its shuffle also serves the window that follows.
+    """
+    block = F.floor(F.unix_micros(F.col(ts)) / F.lit(seconds * 1_000_000)).cast("bigint")
+    return df.withColumns({SERIES: F.struct(*keys), BLOCK: block})
 
 
-def before(keys: list[str]) -> Window:
+def before() -> Window:
     """Earlier blocks of the same series."""
-    return Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return Window.partitionBy(SERIES).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def whole() -> Window:
+    """All blocks of the same series."""
+    return Window.partitionBy(SERIES)
+
+
+def in_block(order: list) -> Window:
+    return Window.partitionBy(SERIES, BLOCK).orderBy(*order)
 
 
-def up_to_row(keys: list[str], order: list) -> Window:
+def up_to_row(order: list) -> Window:
     """Rows of this block up to and including the current one."""
-    return (Window.partitionBy(*keys, BLOCK).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return in_block(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def carry(blocked: DataFrame, keys: list[str], per_block: dict[str, Column],
-          carried: dict[str, Column]) -> DataFrame:
-    """Join to every row what the earlier blocks of its series add up to.
+def carry(blocked: DataFrame, per_block: dict[str, Column], carried: dict[str, Column]) -> DataFrame:
+    """Join to every row what the other blocks of its series add up to.
 
     ``per_block`` are aggregates of one block; ``carried`` are window
-    expressions over them, built on ``before(keys)``.
+    expressions over them, such as sums over ``before()``.
     """
-    blocks = blocked.groupBy(*keys, BLOCK).agg(*[c.alias(n) for n, c in per_block.items()])
-    blocks = blocks.select(*keys, BLOCK, *[c.alias(n) for n, c in carried.items()])
-    return join_on_keys(blocked, blocks, [*keys, BLOCK])
+    blocks = blocked.groupBy(SERIES, BLOCK).agg(*[c.alias(n) for n, c in per_block.items()])
+    blocks = blocks.select(SERIES, BLOCK, *[c.alias(n) for n, c in carried.items()])
+    return blocked.join(blocks, [SERIES, BLOCK])
 
 
 def with_index(df: DataFrame, keys: list[str], ts: str, ties: list | None = None,
                seconds: int = BLOCK_SECONDS, name: str = "idx") -> DataFrame:
     """Zero-based position of each row in its series."""
-    blocked = with_block(df, ts, seconds)
-    rows = carry(blocked, keys, {"__n": F.count("*")},
-                 {"__start": F.coalesce(F.sum("__n").over(before(keys)), F.lit(0))})
-    order = Window.partitionBy(*keys, BLOCK).orderBy(ts, *(ties or []))
-    return (rows.withColumn(name, (F.col("__start") + F.row_number().over(order) - 1).cast("bigint"))
-            .drop("__start", BLOCK))
+    rows = carry(with_block(df, keys, ts, seconds), {"__n": F.count("*")},
+                 {"__start": F.coalesce(F.sum("__n").over(before()), F.lit(0))})
+    place = F.row_number().over(in_block([ts, *(ties or [])]))
+    return rows.withColumn(name, (F.col("__start") + place - 1).cast("bigint")).drop("__start", SERIES, BLOCK)
 
 
 def over_neighbours(indexed: DataFrame, keys: list[str], idx: str, back: int,

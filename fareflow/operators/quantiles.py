@@ -16,8 +16,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.operators.keys import join_on_keys
-
 BINS = 64
 
 
@@ -29,29 +27,31 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
     """
     if method not in ("linear", "nearest"):
         raise ValueError(f"unknown method {method!r}")
-    hist = (df.select(*keys, F.col(value).cast("double").alias("__v"))
+    # The keys as one struct: null keys then compare as equal in plain joins.
+    group = "__group"
+    hist = (df.select(F.struct(*keys).alias(group), F.col(value).cast("double").alias("__v"))
             .filter(F.col("__v").isNotNull())
-            .groupBy(*keys, "__v").agg(F.count("*").alias("__n")))
-    shape = hist.groupBy(*keys).agg(
+            .groupBy(group, "__v").agg(F.count("*").alias("__n")))
+    shape = hist.groupBy(group).agg(
         F.sum("__n").alias("__total"),
         F.percentile_approx("__v", [i / bins for i in range(1, bins)], 10 * bins).alias("__cuts"))
-    binned = join_on_keys(hist, shape, keys).select(
-        *keys, "__v", "__n", "__total",
+    binned = hist.join(shape, group).select(
+        group, "__v", "__n", "__total",
         F.size(F.filter("__cuts", lambda cut: cut < F.col("__v"))).alias("__bin"))
 
     total = F.col("__total")
     wanted = F.array_distinct(F.concat(*[F.array(*_positions(total, p, method)) for p in points.values()]))
-    before_bin = Window.partitionBy(*keys).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    hit_bins = (binned.groupBy(*keys, "__bin").agg(F.sum("__n").alias("__size"),
+    before_bin = Window.partitionBy(group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    hit_bins = (binned.groupBy(group, "__bin").agg(F.sum("__n").alias("__size"),
                                                    F.max("__total").alias("__total"))
                 .withColumn("__start", F.coalesce(F.sum("__size").over(before_bin), F.lit(0)))
                 .withColumn("__wanted", F.filter(wanted, lambda pos: (pos >= F.col("__start"))
                                                  & (pos < F.col("__start") + F.col("__size"))))
                 .filter(F.size("__wanted") > 0)
-                .select(*keys, "__bin", "__start", "__wanted"))
+                .select(group, "__bin", "__start", "__wanted"))
 
-    in_bin = Window.partitionBy(*keys, "__bin").orderBy("__v")
-    ranked = (join_on_keys(binned, hit_bins, [*keys, "__bin"])
+    in_bin = Window.partitionBy(group, "__bin").orderBy("__v")
+    ranked = (binned.join(hit_bins, [group, "__bin"])
               .withColumn("__last", F.col("__start") + F.sum("__n").over(in_bin) - 1)
               .withColumn("__first", F.col("__last") - F.col("__n") + 1)
               .filter(F.exists("__wanted", lambda pos: pos.between(F.col("__first"), F.col("__last")))))
@@ -61,9 +61,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
         for j, pos in enumerate(_positions(total, p, method)):
             here = pos.between(F.col("__first"), F.col("__last"))
             picks.append(F.max(F.when(here, F.col("__v"))).alias(f"__p{i}_{j}"))
-    found = ranked.groupBy(*keys).agg(F.max("__total").alias("__total"), *picks)
-    return found.select(*keys, *[_value(total, i, p, method).alias(name)
-                                 for i, (name, p) in enumerate(points.items())])
+    found = ranked.groupBy(group).agg(F.max("__total").alias("__total"), *picks)
+    return found.select(*[F.col(f"{group}.{k}").alias(k) for k in keys],
+                        *[_value(total, i, p, method).alias(name)
+                          for i, (name, p) in enumerate(points.items())])
 
 
 def _positions(total: Column, p: float, method: str) -> list[Column]:
