@@ -227,6 +227,12 @@ def dead_letters(spark, sf):
     return events.dead_letters(decoded).select("topic", "fault", text("kafka_ts"))
 
 
+@case("""SELECT CASE WHEN n % 50 = 3 THEN 'missing_key' ELSE 'malformed' END AS fault, count(*) AS events FROM pings
+  WHERE n % 50 < 4 GROUP BY ALL""")
+def fault_counts(spark, sf):
+    return events.fault_counts(events.decode_with_faults(p.envelope_of(p.pings(spark, sf))))
+
+
 @case(DEAD_SQL)
 def dead_letters_stream(spark, sf):
     """The split as a stream: good events and dead letters go to two tables."""

@@ -64,6 +64,11 @@ def dead_letters(decoded: DataFrame) -> DataFrame:
         F.lit(TOPIC_DEAD_LETTERS).alias("topic"), "fault", "value", "kafka_ts")
 
 
+def fault_counts(decoded: DataFrame) -> DataFrame:
+    """Failed records per reason."""
+    return decoded.filter(F.col("fault").isNotNull()).groupBy("fault").agg(F.count("*").alias("events"))
+
+
 def classify_priority(speed: Column, battery: Column, demand: Column, speed_limit: float = 100,
                       battery_floor: float = 10, demand_limit: float = 1.5) -> Column:
     """Topic of an event. Unsafe speed or a dying battery goes first."""

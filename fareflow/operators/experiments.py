@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareflow.functions.numeric import eps_per_dollar, exact_mean, rounded
@@ -10,7 +10,7 @@ from fareflow.functions.places import infra_of
 from fareflow.operators.keys import join_on_keys
 from fareflow.operators.ordered import (BLOCK, SERIES, before, carry, in_block, over_neighbours, whole,
                                         with_block, with_index)
-from fareflow.operators.quantiles import exact_quantiles
+from fareflow.operators.quantiles import BINS, bin_of, cut_points, every_step, exact_quantiles
 
 LATENCY, THROUGHPUT, SURGE = ("spark_batch_latency_ms", "spark_kafka_events_per_second",
                               "spark_active_surge_zones")
@@ -22,6 +22,10 @@ RUNS = (("local_sub5s", 500, 2, 0.0), ("local_1k", 1000, 2, 0.0), ("local_5k", 5
         ("fault_local", 1000, None, 0.0), ("fault_ec2", 5000, None, 0.20))
 
 
+def known_runs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(RUNS, "experiment_name string, drivers int, window_s int, cost_hr double")
+
+
 def adaptive_config(configs: DataFrame) -> DataFrame:
     """Window, parallelism and rate for (drivers, ram_gb).
 
@@ -136,7 +140,7 @@ def scaling_efficiency(summary: DataFrame, group: str = "infra", drivers: str =
             .filter(F.col("from_drivers").isNotNull()))
 
 
-def pareto_frontier(df: DataFrame, x: str, y: str, bins: int = 256) -> DataFrame:
+def pareto_frontier(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFrame:
     """Rows that no other row beats or equals on both axes (lower is better).
 
     Exact duplicates do not beat each other. Keeps the lowest y per x, cuts the
@@ -145,9 +149,9 @@ def pareto_frontier(df: DataFrame, x: str, y: str, bins: int = 256) -> DataFrame
     """
     best = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("__x")).agg(
         F.min(y).alias("__y"))
-    cuts = best.agg(F.percentile_approx("__x", [i / bins for i in range(1, bins)], 10 * bins).alias("c"))
-    binned = best.withColumn("__cuts", cuts.scalar()).select(
-        "__x", "__y", F.size(F.filter("__cuts", lambda c: c < F.col("__x"))).alias("__bin"))
+    cuts = best.agg(cut_points("__x", bins).alias("c"))
+    binned = (best.withColumn("__cuts", cuts.scalar()).withColumn("__coarse", every_step("__cuts"))
+              .select("__x", "__y", bin_of("__x", "__cuts", "__coarse").alias("__bin")))
     earlier = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     floors = binned.groupBy("__bin").agg(F.min("__y").alias("__floor")).select(
         "__bin", F.min("__floor").over(earlier).alias("__floor"))

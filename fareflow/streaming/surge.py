@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fareflow import schemas
 from fareflow.operators import surge
 from fareflow.operators.events import decode_events, drop_keyless
 from fareflow.sources import keyed
@@ -101,3 +102,15 @@ def late_rows(query: StreamingQuery) -> int:
     """Aggregated rows that came behind the watermark, over the recent batches."""
     return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress
                for op in batch["stateOperators"])
+
+
+def progress_lineage(query: StreamingQuery, stage: str, source: str, sink: str) -> DataFrame:
+    """Lineage events of a stream's recent batches, from its own progress log."""
+    rows = []
+    for batch in query.recentProgress:
+        began = datetime.fromisoformat(batch["timestamp"].replace("Z", "+00:00"))
+        ended = began + timedelta(milliseconds=batch["durationMs"]["triggerExecution"])
+        key, count = f"{batch['runId']}/{batch['batchId']}", batch["numInputRows"]
+        rows.append((key, "start", stage, source, None, count, 2, None, None, began))
+        rows.append((key, "end", stage, None, sink, None, None, "success", None, ended))
+    return SparkSession.active().createDataFrame(rows, schemas.LINEAGE_EVENT)

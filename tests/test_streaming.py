@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import projections as p
-from fareflow.operators import events, surge
+from fareflow.operators import events, joins, lineage, surge
 from fareflow.sources import keyed, streams
 from fareflow.streaming import flows
 from fareflow.streaming import surge as surge_stream
@@ -51,6 +51,8 @@ def test_update_late_and_restart(spark, tmp_path):
     first = counts(spark, job)
     assert first == {("A", 1000): (2, 3), ("B", 1000): (1, 1), ("A", 1060): (3, 3)}
     assert surge_stream.late_rows(query) == 1
+    done = lineage.lineage(surge_stream.progress_lineage(query, "streaming", "gps-normal", "surge_pricing")).collect()
+    assert len(done) >= 4 and sum(r.record_count for r in done) == 8 and {r.status for r in done} == {"success"}
     run(spark, folder, job)
     assert counts(spark, job) == first
     drop_file(spark, folder, [("B", "on_trip", 1071), ("A", "on_trip", 1068)], 5)
@@ -105,3 +107,17 @@ def test_driver_table_over_batches(spark, tmp_path):
     table = keyed.read_current(spark, str(tmp_path / "t"), ["driver_id"])
     want = events.last_driver_status(p.pings(spark, SF))
     assert table.count() == want.count()
+
+
+def test_history_lookup_on_a_stream(spark, tmp_path):
+    """The lookup keeps zones without history and gives what batch gives."""
+    zones = surge.with_surge(surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600))
+    zones.write.parquet(str(tmp_path / "zones"))
+    history = zones.filter("zone_id < 'Z5'").groupBy(
+        "zone_id", F.date_format("window_start", "yyyy-MM-dd'T'HH").alias("hour_bucket")).agg(
+        F.sum("total_events").alias("trip_count"), F.lit(1.0).alias("avg_surge"), F.lit(2.0).alias("avg_fare_inr"))
+    stream = spark.readStream.schema(zones.schema).parquet(str(tmp_path / "zones"))
+    flows.to_parquet(joins.enrich_with_history(stream, history), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got, want = spark.read.parquet(str(tmp_path / "out")), joins.enrich_with_history(zones, history)
+    assert got.count() == zones.count() and got.exceptAll(want).isEmpty()
+    assert not got.filter("history_trips is null").isEmpty()
