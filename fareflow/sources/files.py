@@ -33,27 +33,31 @@ def write_trips_csv(trips: DataFrame, root: str) -> None:
 def read_trips(spark: SparkSession, root: str, date: str | None = None) -> DataFrame:
     """Trips of one day, or of all days.
 
-    The day is filtered on the folder, so other days are not even listed as
-    tasks; columns are matched by position with an explicit schema.
+    For one day only that day's folders are listed. Columns are matched by
+    position with an explicit schema.
     """
     in_file = ", ".join(f"{'trip_date' if f.name == 'date' else f.name} {f.dataType.simpleString()}"
                         for f in schemas.TRIP.fields)
-    raw = (spark.read.schema(f"{in_file}, city STRING, date DATE").option("header", True)
-           .option("enforceSchema", True).option("timestampFormat", CSV_TIME).csv(root))
-    if date is not None:
-        raw = raw.filter(F.col("date") == F.lit(date).cast("date"))
+    reader = (spark.read.schema(f"{in_file}, city STRING, date DATE").option("header", True)
+              .option("enforceSchema", True).option("timestampFormat", CSV_TIME).option("basePath", root))
+    if date is None:
+        raw = reader.csv(root)
+    else:
+        raw = reader.csv(day_folders(root, date)).filter(F.col("date") == F.lit(date).cast("date"))
     return raw.select(*schemas.TRIP.names)
 
 
+def day_folders(root: str, date: str) -> str:
+    return f"{root}/city=*/date={date}"
+
+
 def input_bytes(spark: SparkSession, root: str, date: str) -> DataFrame:
     """Total size of the day's files as one row. File content is not read."""
     try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .load(root).select("path", "length"))
+        files = spark.read.format("binaryFile").load(day_folders(root, date)).select("path", "length")
     except AnalysisException:
         return spark.range(1).select(F.lit(0).cast("bigint").alias("input_bytes"))
-    return files.filter(F.col("path").contains(f"date={date}")).agg(
-        F.coalesce(F.sum("length"), F.lit(0)).alias("input_bytes"))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("input_bytes"))
 
 
 def input_size_gate(spark: SparkSession, root: str, date: str, min_bytes: int = MIN_INPUT_BYTES) -> bool:
@@ -133,10 +137,12 @@ def union_experiments(frames: list[DataFrame]) -> DataFrame:
 
 
 def read_fault_events(spark: SparkSession, path: str) -> DataFrame:
-    """Header-less fault log. ``row_id`` follows the file name and line order."""
+    """Header-less fault logs, one folder per experiment. ``row_id`` follows the
+    line order of a file, also when it is read in several splits."""
     raw = spark.read.schema(schemas.FAULT_EVENT).csv(path)
-    return raw.withColumn("experiment_name", F.element_at(F.split(F.input_file_name(), "/"), -2)).withColumn(
-        "row_id", F.monotonically_increasing_id())
+    return raw.select("*", F.element_at(F.split("_metadata.file_path", "/"), -2).alias("experiment_name"),
+                      F.struct(F.col("_metadata.file_block_start").alias("start"),
+                               F.monotonically_increasing_id().alias("n")).alias("row_id"))
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -2,9 +2,9 @@
 
 Each micro-batch appends its rows under ``changes/batch_id=N``; writing the same
 batch again replaces that folder, so a replay changes nothing. Readers keep the
-newest row per key. ``compact`` folds finished batches into a snapshot, and the
-snapshot in force is the newest one whose write completed. A micro-batch thus
-never rewrites, or even reads, the table it updates.
+newest row per key. ``compact`` folds finished batches into a snapshot. Folders
+count only once their write completed. A micro-batch thus never rewrites, or
+even reads, the table it updates.
 """
 
 from __future__ import annotations
@@ -24,16 +24,17 @@ def upsert(batch: DataFrame, root: str, batch_id: int) -> None:
 
 def read_current(spark: SparkSession, root: str, keys: list[str], as_of: int | None = None) -> DataFrame:
     """The newest row per key, optionally as of an earlier batch."""
-    base = _snapshot(spark, root, as_of)
+    base = max(_complete(spark, f"{root}/snapshots", as_of), default=None)
+    newer = [n for n in _complete(spark, f"{root}/changes", as_of) if base is None or n > base]
     parts = []
     if base is not None:
-        parts.append(spark.read.parquet(f"{root}/snapshots/upto={base}").withColumn(
-            VERSION, F.col(VERSION).cast("bigint")))
-    if _exists(spark, f"{root}/changes"):
-        changes = spark.read.option("basePath", f"{root}/changes").parquet(f"{root}/changes").withColumn(
-            VERSION, F.col(VERSION).cast("bigint"))
-        newer = F.lit(True) if base is None else F.col(VERSION) > base
-        parts.append(changes.filter(newer if as_of is None else newer & (F.col(VERSION) <= as_of)))
+        parts.append(spark.read.parquet(f"{root}/snapshots/upto={base}"))
+    if newer:
+        parts.append(spark.read.option("basePath", f"{root}/changes").parquet(
+            *[f"{root}/changes/{VERSION}={n}" for n in newer]))
+    if not parts:
+        raise ValueError(f"no finished batch under {root}")
+    parts = [part.withColumn(VERSION, F.col(VERSION).cast("bigint")) for part in parts]
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     return best_row(rows, keys, [-F.col(VERSION)])
 
@@ -42,28 +43,35 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, keep: Co
     """Write the state after batch ``upto`` as a snapshot.
 
     ``keep`` drops expired rows. Older files stay, so readers that started
-    before are not disturbed; remove them by age when no reader needs them.
+    before are not disturbed; ``prune`` removes them later.
     """
     current = read_current(spark, root, keys, as_of=upto)
     (current if keep is None else current.filter(keep)).write.mode("overwrite").option(
         "partitionOverwriteMode", "static").parquet(f"{root}/snapshots/upto={upto}")
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath
+def prune(spark: SparkSession, root: str, keep_batches: int) -> int:
+    """Delete change folders that the newest snapshot covers, except the last
+    ``keep_batches`` before it, which slow readers may still use."""
+    base = max(_complete(spark, f"{root}/snapshots"), default=None)
+    if base is None:
+        return 0
+    fs = _path(spark, root)[0]
+    old = [n for n in _complete(spark, f"{root}/changes") if n <= base - keep_batches]
+    return sum(fs.delete(_path(spark, f"{root}/changes/{VERSION}={n}")[1], True) for n in old)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, jpath = _fs(spark, path)
-    return fs.exists(jpath)
+def _complete(spark: SparkSession, folder: str, as_of: int | None = None) -> list[int]:
+    """Numbers of the ``name=N`` folders whose write finished."""
+    fs, parent = _path(spark, folder)
+    if not fs.exists(parent):
+        return []
+    found = {int(s.getPath().getName().split("=")[1]): s.getPath() for s in fs.listStatus(parent)
+             if s.isDirectory() and "=" in s.getPath().getName()}
+    return sorted(n for n, path in found.items() if (as_of is None or n <= as_of)
+                  and fs.exists(_path(spark, f"{path.toString()}/_SUCCESS")[1]))
 
 
-def _snapshot(spark: SparkSession, root: str, as_of: int | None) -> int | None:
-    fs, folder = _fs(spark, f"{root}/snapshots")
-    if not fs.exists(folder):
-        return None
-    done = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(folder)
-            if s.isDirectory() and _exists(spark, f"{s.getPath().toString()}/_SUCCESS")]
-    usable = [v for v in done if as_of is None or v <= as_of]
-    return max(usable, default=None)
+def _path(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath

@@ -89,6 +89,10 @@ def test_keyed_table(spark, tmp_path):
     assert state() == {"b": 2, "c": 9}
     keyed.compact(spark, root, ["k"], upto=10)
     assert state() == {"b": 2, "c": 9}
+    assert keyed.prune(spark, root, keep_batches=5) == 2 and keyed.prune(spark, root, keep_batches=0) == 1
+    assert state() == {"b": 2, "c": 9}
+    put([("d", 1)], 11)
+    assert state() == {"b": 2, "c": 9, "d": 1}
 
 
 def test_metrics_files(spark, tmp_path):
