@@ -149,9 +149,10 @@ def pareto_frontier(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFram
     """
     best = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("__x")).agg(
         F.min(y).alias("__y"))
-    cuts = best.agg(cut_points("__x", bins).alias("c"))
-    binned = (best.withColumn("__cuts", cuts.scalar()).withColumn("__coarse", every_step("__cuts"))
-              .select("__x", "__y", bin_of("__x", "__cuts", "__coarse").alias("__bin")))
+    cuts = best.agg(cut_points("__x", bins).alias("all")).select(
+        F.struct("all", every_step("all").alias("coarse")))
+    binned = best.withColumn("__cuts", cuts.scalar()).select(
+        "__x", "__y", bin_of("__x", "__cuts.all", "__cuts.coarse").alias("__bin"))
     earlier = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     floors = binned.groupBy("__bin").agg(F.min("__y").alias("__floor")).select(
         "__bin", F.min("__floor").over(earlier).alias("__floor"))
