@@ -10,7 +10,7 @@ from fareflow.functions.places import infra_of
 from fareflow.operators.keys import join_on_keys
 from fareflow.operators.ordered import (BLOCK, SERIES, before, carry, in_block, over_neighbours, whole,
                                         with_block, with_index)
-from fareflow.operators.quantiles import BINS, bin_of, cut_points, every_step, exact_quantiles
+from fareflow.operators.quantiles import BINS, bin_of, cut_points, exact_quantiles
 
 LATENCY, THROUGHPUT, SURGE = ("spark_batch_latency_ms", "spark_kafka_events_per_second",
                               "spark_active_surge_zones")
@@ -149,10 +149,9 @@ def pareto_frontier(df: DataFrame, x: str, y: str, bins: int = BINS) -> DataFram
     """
     best = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(x).alias("__x")).agg(
         F.min(y).alias("__y"))
-    cuts = best.agg(cut_points("__x", bins).alias("all")).select(
-        F.struct("all", every_step("all").alias("coarse")))
+    cuts = best.agg(cut_points("__x", bins).alias("cuts"))
     binned = best.withColumn("__cuts", cuts.scalar()).select(
-        "__x", "__y", bin_of("__x", "__cuts.all", "__cuts.coarse").alias("__bin"))
+        "__x", "__y", bin_of("__x", "__cuts", bins).alias("__bin"))
     earlier = Window.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     floors = binned.groupBy("__bin").agg(F.min("__y").alias("__floor")).select(
         "__bin", F.min("__floor").over(earlier).alias("__floor"))

@@ -17,25 +17,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BINS = 1024
-STEP = 32  # cuts between two entries of the coarse list
 
 
 def cut_points(value: str, bins: int) -> Column:
     """Distinct values that split a column into about ``bins`` even parts, in order."""
     shares = [i / bins for i in range(1, bins)]
-    return F.array_distinct(F.percentile_approx(value, shares, 10 * bins))
+    return F.array_distinct(F.percentile_approx(value, shares, 2 * bins))
 
 
-def every_step(cuts: str) -> Column:
-    return F.filter(cuts, lambda _, i: i % STEP == STEP - 1)
-
-
-def bin_of(value: str, cuts: str, coarse: str) -> Column:
-    """How many cuts lie below the value: first among the coarse ones, then
-    among the few between two of those."""
-    below = lambda cut: cut < F.col(value)
-    block = F.size(F.filter(coarse, below))
-    return block * STEP + F.size(F.filter(F.slice(cuts, block * STEP + 1, F.lit(STEP - 1)), below))
+def bin_of(value: str, cuts: str, bins: int) -> Column:
+    """How many cuts lie below the value, by halving: a jump of 2^k is taken
+    when the cut it reaches is still below."""
+    jumps = F.array(*[F.lit(1 << k) for k in reversed(range(bins.bit_length()))])
+    return F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(
+        F.get(F.col(cuts), at + jump - 1) < F.col(value), at + jump).otherwise(at))
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
@@ -52,9 +47,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
             .filter(F.col("__v").isNotNull())
             .groupBy(group, "__v").agg(F.count("*").alias("__n")))
     shape = hist.groupBy(group).agg(F.sum("__n").alias("__total"), cut_points("__v", bins).alias("__cuts"))
-    shape = shape.withColumn("__coarse", every_step("__cuts"))
     binned = hist.join(shape, group).select(group, "__v", "__n", "__total",
-                                            bin_of("__v", "__cuts", "__coarse").alias("__bin"))
+                                            bin_of("__v", "__cuts", bins).alias("__bin"))
 
     total = F.col("__total")
     wanted = F.array_distinct(F.concat(*[F.array(*_positions(total, p, method)) for p in points.values()]))
