@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.llm import mixing, warc
+from fareflow.llm import mixing, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -36,3 +36,18 @@ def op2_warc(spark, sf_dir):
 @query()
 def op6_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM t WHERE len(w) >= 13),
+h AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s FROM g),
+bad AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY s) AS lo FROM h) WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS i FROM bad),
+word AS (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS i FROM t),
+kept AS (SELECT doc_id, string_agg(v, ' ' ORDER BY i) AS k FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+n AS (SELECT doc_id, count(*) AS c FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c, 0)::BIGINT AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""")
+def op10_substrings(spark, sf_dir):
+    return substrings.find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
