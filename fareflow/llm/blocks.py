@@ -47,15 +47,18 @@ def question(block: int, buckets: int, keys: np.ndarray, vals: np.ndarray, extra
                      "extra": pa.array([extra(s) if extra else 0 for s in spans], pa.int64())})
 
 
-def answers(questions: DataFrame, step: int, combine: np.ufunc, kind: type) -> DataFrame:
-    """Per block and bucket: the combined value of each asked number, in its order."""
+def answers(questions: DataFrame, step: int, combine: np.ufunc, kind: type, total_kind: type) -> DataFrame:
+    """Per block and bucket: the combined value of each asked number, in its order.
+
+    ``combine`` is ``np.add`` or ``np.minimum``; values of ``kind`` are combined as ``total_kind``.
+    """
 
     def reduce(table: pa.Table) -> pa.Table:
         blocks, bucket = table["block"].to_numpy(), table["bucket"][0].as_py()
         asked = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
         sent = [np.frombuffer(x, kind) for x in table["vals"].to_pylist()]
         keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-        total = np.full(len(keys), np.iinfo(kind).max if combine is np.minimum else 0, kind)
+        total = np.full(len(keys), np.iinfo(total_kind).max if combine is np.minimum else 0, total_kind)
         combine.at(total, place, np.concatenate(sent))
         cut = np.cumsum([len(x) for x in asked])[:-1]
         back = [total[p].tobytes() for p in np.split(place, cut)]

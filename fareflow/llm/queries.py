@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareflow.llm import mixing, substrings, warc
+from fareflow.llm import mixing, ngrams, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -51,3 +52,28 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(c, 0)::BIGINT AS n_removed, s
 FROM t LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""")
 def op10_substrings(spark, sf_dir):
     return substrings.find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("""
+WITH t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS i FROM t),
+pair AS (SELECT a.doc_id, a.i, b.v AS c, a.v FROM word a LEFT JOIN word b ON b.doc_id = a.doc_id AND b.i = a.i - 1),
+own1 AS (SELECT doc_id, v, count(*) AS o FROM word GROUP BY 1, 2),
+own2 AS (SELECT doc_id, c, v, count(*) AS o FROM pair WHERE c IS NOT NULL GROUP BY 1, 2, 3),
+all1 AS (SELECT v, sum(o) AS n FROM own1 GROUP BY 1),
+all2 AS (SELECT c, v, sum(o) AS n FROM own2 GROUP BY 1, 2),
+rest1 AS (SELECT doc_id, v, n - o AS n FROM own1 JOIN all1 USING (v)),
+rest2 AS (SELECT doc_id, c, v, n - o AS n FROM own2 JOIN all2 USING (c, v)),
+total AS (SELECT count(*) AS n FROM word),
+s AS (SELECT p.doc_id, coalesce(g.n, 0) = 0 AS backed,
+        CASE WHEN g.n > 0 THEN ln(g.n / x.n)
+             ELSE ln(greatest(u.n, 0.5) / greatest((SELECT n FROM total) - len(t.w), 1)) + ln(0.4) END AS l
+      FROM pair p JOIN t USING (doc_id) JOIN rest1 u ON u.doc_id = p.doc_id AND u.v = p.v
+      LEFT JOIN rest2 g ON g.doc_id = p.doc_id AND g.c = p.c AND g.v = p.v
+      LEFT JOIN rest1 x ON x.doc_id = p.doc_id AND x.v = p.c),
+d AS (SELECT doc_id, sum(backed::INT) AS b, sum(l) AS l FROM s GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(b, 0)::BIGINT AS n_backoff, round(coalesce(l, 0), 4)::DOUBLE AS log_score
+FROM t LEFT JOIN d USING (doc_id)""")
+def op8_backoff(spark, sf_dir):
+    scores = ngrams.score(table(spark, sf_dir, "documents"))
+    return scores.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))

@@ -119,7 +119,7 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, first: int | None =
             return B.question(block, buckets, keys, vals)
 
         questions = B.per_block(blocks, ask) if replies is None else B.with_answers(blocks, replies, ask)
-        fresh = B.answers(questions, step, np.minimum, np.int64) if step == last else count_two(questions, step)
+        fresh = B.answers(questions, step, np.minimum, np.int64, np.int64) if step == last else count_two(questions, step)
         replies = fresh if replies is None else replies.unionByName(fresh)
 
     def finish(block, table, reply):
