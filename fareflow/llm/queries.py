@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import mixing, ngrams, substrings, warc
+from fareflow.llm import decontam, mixing, ngrams, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -28,6 +28,19 @@ def query(sql: str | None = None):
     return add
 
 
+@query("""
+WITH t AS (SELECT doc_id AS id, 0 AS k, text FROM documents UNION ALL SELECT item_id, 1, text FROM benchmark),
+w AS (SELECT id, k, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM t),
+g AS (SELECT id, k, w, unnest(range(1, len(w) - 3)) AS p FROM w WHERE len(w) >= 5),
+s AS (SELECT DISTINCT id, k, array_to_string(w[p:p + 4], ' ') AS s FROM g),
+n AS (SELECT id, count(*) AS n FROM s WHERE k = 1 GROUP BY 1),
+c AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS n_shared FROM s d JOIN s b ON d.s = b.s AND d.k = 0 AND b.k = 1 GROUP BY 1, 2)
+SELECT doc_id, item_id, n AS n_shingles, n_shared, n_shared / n AS containment FROM c JOIN n ON n.id = item_id WHERE n_shared / n >= 0.8""")
+def op1_decontaminate(spark, sf_dir):
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query()
 def op2_warc(spark, sf_dir):
     return warc.archive_pages(spark, table(spark, sf_dir, "pages")).select(
