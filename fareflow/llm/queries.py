@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontam, mixing, ngrams, substrings, warc
+from fareflow.llm import decontam, mixing, ngrams, setjoin, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -52,6 +52,21 @@ def op6_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("""
+WITH RECURSIVE t AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM t WHERE len(w) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+k AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM k JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT t.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, least(t.doc_id, min(r.b)) AS component_id
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN r ON r.a = t.doc_id GROUP BY t.doc_id""")
+def op9_jaccard_join(spark, sf_dir):
+    return setjoin.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query("""
 WITH t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
 g AS (SELECT doc_id, unnest(range(1, len(w) - 11)) AS p, w FROM t WHERE len(w) >= 13),
