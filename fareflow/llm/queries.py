@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontam, mixing, ngrams, setjoin, substrings, warc
+from fareflow.llm import decontam, mixing, ngrams, pages, quality, setjoin, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -47,6 +47,16 @@ def op2_warc(spark, sf_dir):
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query()
+def op3_quality(spark, sf_dir):
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op5_main_text(spark, sf_dir):
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op6_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
