@@ -33,13 +33,19 @@ from fareflow.llm.tokens import bytes_of, distinct, shingles, within, words
 
 FEATURES = ("words", "word_length", "upper", "symbols", "exclamations", "bars", "digits", "foreign",
             "stops", "repeats", "variety", "phrases", "lines")
-SHRINK = 0.2
+SHRINK = 0.15
 CUT = 0.7
 HELD_OUT = 2
 
-# The byte classes that are counted.
-CLASSES = {"upper": range(ord("A"), ord("Z") + 1), "symbols": b"#*&%$~^<>{}[]\\`", "exclamations": b"!", "bars": b"|",
-           "digits": range(ord("0"), ord("9") + 1), "foreign": range(0x80, 0x100), "stops": b".?", "lines": b"\n"}
+#: A text's shares are averaged with the usual ones as if so much usual text stood beside it,
+#: so that a few words are not judged by one capital letter.
+MANY_BYTES, MANY_WORDS = 100, 16
+
+# The byte classes that are counted, and their usual shares in prose.
+CLASSES = {"upper": (range(ord("A"), ord("Z") + 1), 0.015), "symbols": (b"#*&%$~^<>{}[]\\`", 0.0), "exclamations": (b"!", 0.0),
+           "bars": (b"|", 0.0), "digits": (range(ord("0"), ord("9") + 1), 0.0), "foreign": (range(0x80, 0x100), 0.02),
+           "stops": (b".?", 0.015), "lines": (b"\n", 0.005)}
+USUAL_WORD = 6.0
 
 
 def features(column) -> np.ndarray:
@@ -48,21 +54,21 @@ def features(column) -> np.ndarray:
     found = words(column)
     n_bytes, n_words = np.diff(offsets), np.diff(found.first)
     share = {}
-    for name, members in CLASSES.items():
+    for name, (members, usual) in CLASSES.items():
         flags = np.zeros(256, bool)
         flags[list(members)] = True
         total = np.concatenate([[0], np.cumsum(flags[data])])
-        share[name] = (total[offsets[1:]] - total[offsets[:-1]]) / np.maximum(n_bytes, 1)
+        share[name] = (total[offsets[1:]] - total[offsets[:-1]] + usual * MANY_BYTES) / (n_bytes + MANY_BYTES)
     n = len(n_words)
     same = np.flatnonzero(within(found.doc, 2) & (found.number[1:] == found.number[:-1])) if len(found.number) > 1 else np.zeros(0, int)
     different = np.bincount(distinct(found.doc, found.number)[0], minlength=n)
     whole = within(found.doc, 3)
     tri_doc, tri = found.doc[:len(whole)][whole], shingles(found.number, 3)[whole]
-    phrases = np.bincount(distinct(tri_doc, tri)[0], minlength=n) / np.maximum(n_words - 2, 1)
-    few = np.maximum(n_words, 1)
-    rows = {"words": np.log1p(n_words), "word_length": np.log1p(n_bytes / few),
+    phrases = (np.bincount(distinct(tri_doc, tri)[0], minlength=n) + MANY_WORDS) / (np.maximum(n_words - 2, 0) + MANY_WORDS)
+    few = n_words + MANY_WORDS
+    rows = {"words": np.log1p(n_words), "word_length": np.log((n_bytes + USUAL_WORD * MANY_WORDS) / few),
             "repeats": np.log(0.01 + np.bincount(found.doc[same], minlength=n) / few),
-            "variety": np.log1p(different) / np.log1p(few), "phrases": np.where(n_words < 3, 1.0, phrases)}
+            "variety": np.log(different + MANY_WORDS) / np.log(few), "phrases": phrases}
     rows |= {name: np.log(0.002 + s) for name, s in share.items()}
     return np.stack([rows[f] for f in FEATURES], axis=1)
 

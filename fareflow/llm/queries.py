@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontam, mixing, ngrams, pages, quality, setjoin, substrings, warc
+from fareflow.llm import decontam, fingerprints, mixing, ngrams, pages, quality, setjoin, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -92,6 +92,11 @@ def op10_substrings(spark, sf_dir):
     return substrings.find_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query()
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 @query("""
 WITH t AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
 word AS (SELECT doc_id, unnest(w) AS v, unnest(range(1, len(w) + 1)) AS i FROM t),
