@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontam, fingerprints, mixing, ngrams, pages, quality, setjoin, substrings, warc
+from fareflow.llm import decontam, fingerprints, lines, mixing, ngrams, pages, quality, setjoin, substrings, warc
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -52,6 +52,11 @@ def op3_quality(spark, sf_dir):
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query()
+def op4_lines(spark, sf_dir):
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_main_text(spark, sf_dir):
     return pages.extract(table(spark, sf_dir, "pages"))
