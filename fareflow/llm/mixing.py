@@ -153,8 +153,9 @@ def hand_out(docs: DataFrame, plan: DataFrame) -> DataFrame:
             .select(*cell, F.col("bucket").alias("last"), (F.col("extra") - F.col("before")).alias("left")))
     placed = docs.join(plan.join(ends, cell, "left"), cell)
     edge = F.col("bucket").eqNullSafe(F.col("last"))
-    ranked = placed.filter(edge).withColumn("rank", F.row_number().over(
-        Window.partitionBy(*cell).orderBy(F.xxhash64("doc_id", F.lit(1)), F.col("doc_id").asc_nulls_last())))
+    # Dealt by bucket, so the join above can be split where one size is hot.
+    ranked = placed.filter(edge).repartition(*cell, "bucket").withColumn("rank", F.row_number().over(
+        Window.partitionBy(*cell, "bucket").orderBy(F.xxhash64("doc_id", F.lit(1)), F.col("doc_id").asc_nulls_last())))
     sure = placed.filter(~edge).withColumn("rank", F.lit(None).cast("int"))
     more = F.coalesce((F.col("bucket") < F.col("last")) | (F.col("rank") <= F.col("left")), F.lit(False))
     times = (F.col("base") + F.when(more, 1).otherwise(0)).cast("long")

@@ -51,7 +51,7 @@ VERIFY = 8.0
 #: A shingle expected in more entries than this is split.
 SPLIT = 100_000
 
-META_SCHEMA = "doc_id long, n_shingles long, node long, cell int, seen long"
+META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, cell int, seen long"
 ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int"
 
 
@@ -85,19 +85,17 @@ def measure(documents: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
 
-        def out(n, doc_id, size, node, cell, seen):
-            blank = pa.nulls(n, pa.int64())
-            return pa.RecordBatch.from_arrays([blank if doc_id is None else doc_id, blank if size is None else pa.array(size, pa.int64()),
-                                               blank if node is None else pa.array(node), pa.nulls(n, pa.int32()) if cell is None else pa.array(cell, pa.int32()),
-                                               blank if seen is None else pa.array(seen)], ["doc_id", "n_shingles", "node", "cell", "seen"])
+        names = ["doc_id", "tie", "n_shingles", "node", "cell", "seen"]
 
         for batch in batches:
             for part in slices(batch):
                 doc, number, sizes = shingle_sets(part.column("text"))
                 sketch += np.bincount((number & np.uint64(len(sketch) - 1)).astype(np.int64), minlength=len(sketch))
-                yield out(part.num_rows, part.column("doc_id"), sizes, node_of(doc, number, sizes), None, None)
+                n = part.num_rows
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()), pa.array(node_of(doc, number, sizes)),
+                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
         cell = np.flatnonzero(sketch)
-        yield out(len(cell), None, None, None, cell, sketch[cell])
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(cell), pa.int64())] * 4, pa.array(cell, pa.int32()), pa.array(sketch[cell])], names)
 
     return documents.mapInArrow(rows, META_SCHEMA)
 
@@ -225,10 +223,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, n_shingles, node`` of each document, and links ``a, b`` between nodes."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """``doc_id, tie, n_shingles, node`` of each document, and links ``a, b`` between nodes."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _tie(F.col("text")).alias("tie"))
     measured = stored(measure(docs), "measured")
-    meta = measured.filter("cell IS NULL").select("doc_id", "n_shingles", "node")
+    meta = measured.filter("cell IS NULL").select("doc_id", "tie", "n_shingles", "node")
     cells = measured.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("seen").alias("seen")).toPandas()
     sketch = np.zeros(1 << SKETCH_BITS, np.int64)
     sketch[cells["cell"].to_numpy()] = cells["seen"].to_numpy()
@@ -266,11 +264,36 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, node`` per document."""
+    placed, empty = _placed(documents, percent)
+    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    alone = empty.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node")
+    return placed.join(least, "root").select("doc_id", "n_shingles", "component_id", "node").unionByName(alone)
+
+
+def _placed(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Documents with shingles and the root of their component; documents without."""
     meta, found = links(documents, percent)
     roots = stored(components(found), "roots")
-    # Documents without shingles stand alone and take no part in the joins.
     full = meta.filter("n_shingles > 0").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    full = stored(full, "placed")
-    least = full.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    empty = meta.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "node")
-    return full.join(least, "root").select("doc_id", "n_shingles", "component_id", "node").unionByName(empty)
+    return stored(full, "placed"), meta.filter("n_shingles = 0")
+
+
+def _rank(doc_id):
+    return F.coalesce(doc_id, F.lit(2**63 - 1))
+
+
+def _tie(text):
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of every component, all columns kept: the one with the smallest doc_id, nulls
+    last, then by a hash of its text. Documents without shingles stay; of rows equal in doc_id and
+    text any one stays."""
+    placed, empty = _placed(documents, percent)
+    name = F.struct(_rank(F.col("doc_id")).alias("k"), "tie")
+    kept = placed.groupBy("root").agg(F.min(name).alias("first")).select("first.k", "first.tie")
+    kept = kept.unionByName(empty.select(_rank(F.col("doc_id")).alias("k"), "tie").distinct())
+    keyed = documents.withColumns({"__k": _rank(F.col("doc_id").cast("long")), "__tie": _tie(F.col("text"))})
+    same = (F.col("__k") == F.col("k")) & (F.col("__tie") == F.col("tie"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["__k", "__tie"]).select(*documents.columns)
