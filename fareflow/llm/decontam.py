@@ -192,7 +192,7 @@ def contained(documents: DataFrame, benchmark: DataFrame, threshold: float = THR
     """``doc_id, item_id, n_shingles, n_shared, containment`` for each item whose shingles are in
     a document to at least ``threshold``."""
     items = item_table(benchmark)
-    hits = stored(search(documents, items), "hits")
+    hits = stored(search(documents, items).distinct(), "hits")  # rows equal in id and text count once
     pair = ["doc_id", "text_key", "item_key"]
     minima = items.select("item_key", F.explode("minima").alias("number"))
     # Two equal minima, as in the search, but now of one item.
@@ -212,5 +212,5 @@ def contained(documents: DataFrame, benchmark: DataFrame, threshold: float = THR
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that contain no item."""
-    bad = contained(documents, benchmark, threshold).select(F.col("doc_id").alias("bad_id")).distinct()
-    return documents.join(bad, documents["doc_id"].cast("long").eqNullSafe(F.col("bad_id")), "left_anti")
+    bad = contained(documents, benchmark, threshold).select(F.col("doc_id").alias("__leak_id")).distinct()
+    return documents.join(bad, documents["doc_id"].cast("long").eqNullSafe(F.col("__leak_id")), "left_anti")

@@ -132,12 +132,12 @@ def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents with their repeated lines taken out of ``text``; all columns kept. A document that
     loses all its lines goes; ``n_chars``, where there is one, follows the text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    gone = repeats(documents, percent).filter("size(removed) > 0").select(F.col("k").alias("gone_k"), F.col("tie").alias("gone_tie"), F.col("removed").alias("gone_lines"))
-    joined = documents.join(gone, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("gone_k")) & (F.xxhash64(text) == F.col("gone_tie")), "left")
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("gone_lines"), i))
-    cleaned = F.when(F.col("gone_k").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    kept = joined.filter(F.col("gone_k").isNull() | (F.trim(F.translate(cleaned, "\n", " ")) != "")).withColumn("text", cleaned)
+    gone = repeats(documents, percent).filter("size(removed) > 0").select(F.col("k").alias("__gone_k"), F.col("tie").alias("__gone_tie"), F.col("removed").alias("__gone_lines"))
+    joined = documents.join(gone, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__gone_k")) & (F.xxhash64(text) == F.col("__gone_tie")), "left")
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("__gone_lines"), i))
+    cleaned = F.when(F.col("__gone_k").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    kept = joined.filter(F.col("__gone_k").isNull() | (F.trim(F.translate(cleaned, "\n", " ")) != "")).withColumn("text", cleaned)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        kept = kept.withColumn("n_chars", F.when(F.col("gone_k").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
+        kept = kept.withColumn("n_chars", F.when(F.col("__gone_k").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))
     return kept.select(*documents.columns)

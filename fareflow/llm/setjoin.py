@@ -295,5 +295,6 @@ def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept = placed.groupBy("root").agg(F.min(name).alias("first")).select("first.k", "first.tie")
     kept = kept.unionByName(empty.select(_rank(F.col("doc_id")).alias("k"), "tie").distinct())
     keyed = documents.withColumns({"__k": _rank(F.col("doc_id").cast("long")), "__tie": _tie(F.col("text"))})
-    same = (F.col("__k") == F.col("k")) & (F.col("__tie") == F.col("tie"))
+    kept = kept.withColumnsRenamed({"k": "__keep_k", "tie": "__keep_tie"})
+    same = (F.col("__k") == F.col("__keep_k")) & (F.col("__tie") == F.col("__keep_tie"))
     return keyed.join(kept, same, "left_semi").dropDuplicates(["__k", "__tie"]).select(*documents.columns)
