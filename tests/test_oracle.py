@@ -5,9 +5,11 @@ import math
 import pytest
 
 import __spark_entry__ as entry
+from checks import CASES
 from tests.conftest import SF
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {name: c.run for name, c in CASES.items()}
+ORACLES = {name: c.sql for name, c in CASES.items() if c.sql}
 KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
@@ -39,6 +41,10 @@ def test_has_rows(spark, name):
     assert not QUERIES[name](spark, SF).isEmpty()
 
 
+def test_registered():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
