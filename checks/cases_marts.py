@@ -146,6 +146,23 @@ def zone_demand_upsert(spark, sf):
                        F.col("avg_fare_inr").cast("double").alias("avg_fare_inr"))
 
 
+@case("""SELECT pickup_zone AS zone_id, CAST(date AS VARCHAR) || 'T' || lpad(CAST(pickup_hour AS VARCHAR), 2, '0') AS hour_bucket,
+  city_id, trip_count, avg_surge, avg_fare_inr FROM zone_heatmap""")
+def zone_demand_backfill(spark, sf):
+    """A late day is compacted, then earlier days arrive under smaller batch numbers."""
+    from fareflow.sources import keyed
+    root = shared_dir(spark, "zone-demand")
+    heatmap = marts.zone_heatmap(p.trips(spark, sf))
+    late = F.dayofmonth("date") % 2 == 1
+    daily_marts.upsert_zone_demand(heatmap.filter(late), root, "2024-01-03")
+    keyed.compact(spark, root, daily_marts.ZONE_DEMAND_KEYS, upto=20240103)
+    daily_marts.upsert_zone_demand(heatmap.filter(~late), root, "2024-01-02")
+    back = keyed.read_current(spark, root, daily_marts.ZONE_DEMAND_KEYS)
+    return back.select("zone_id", "hour_bucket", "city_id", "trip_count",
+                       F.col("avg_surge").cast("double").alias("avg_surge"),
+                       F.col("avg_fare_inr").cast("double").alias("avg_fare_inr"))
+
+
 @case()
 def input_size_gate(spark, sf):
     """Bytes of one day's trip files; the size depends on the writer, so no SQL."""

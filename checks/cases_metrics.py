@@ -103,6 +103,23 @@ def alarm_out(df):
     return df.select("scale", "metric_name", text("window_start"), "state")
 
 
+@case(""", v AS (SELECT k % 4 AS g, CASE WHEN k % 4 = 1 AND k < 10 THEN 'nan'::DOUBLE WHEN k % 4 = 2 AND k < 10 THEN 'inf'::DOUBLE
+    WHEN k % 4 = 3 THEN value * 1e-7 ELSE value END AS x FROM samples),
+ a AS (SELECT g, count(*) AS samples, bool_or(isnan(x)) AS n, bool_or(isinf(x)) AS i, avg(x) FILTER (isfinite(x)) AS m FROM v GROUP BY g)
+SELECT 'm' || g AS metric_name, samples, CASE WHEN n THEN 'nan' WHEN i THEN 'inf' ELSE 'finite' END AS kind,
+  CASE WHEN NOT n AND NOT i THEN round(m * CASE WHEN g = 3 THEN 1e7 ELSE 1 END, 3) END AS mean FROM a""")
+def rollup_special_values(spark, sf):
+    """Means keep NaN, infinity and very small values."""
+    g, value = F.col("k") % 4, F.col("value")
+    x = (F.when((g == 1) & (F.col("k") < 10), F.lit(float("nan"))).when((g == 2) & (F.col("k") < 10), F.lit(float("inf")))
+         .when(g == 3, value * 1e-7).otherwise(value))
+    rows = p.samples(spark, sf).select("timestamp", F.lit("S").alias("scale"), F.concat(F.lit("m"), g.cast("string")).alias("metric_name"), x.alias("value"))
+    mean = F.col("avg_value")
+    kind = F.when(F.isnan(mean), "nan").when(mean == float("inf"), "inf").otherwise("finite")
+    scaled = F.round(mean * F.when(F.col("metric_name") == "m3", 1e7).otherwise(1.0), 3)
+    return ob.metric_rollup(rows, seconds=864_000_000).select("metric_name", "samples", kind.alias("kind"), F.when(kind == "finite", scaled).alias("mean"))
+
+
 @case(ALARM_SQL.format(m="AvgLatencyMs", breach="v > 10000", missing="false", back=1))
 def alarm_high_latency(spark, sf):
     return alarm_out(ob.high_latency_alarm(dense_rollup(spark, sf)))

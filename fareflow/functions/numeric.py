@@ -12,10 +12,18 @@ def mean(col: Column) -> Column:
     return F.sum(col) / F.count(col)
 
 
-def exact_mean(col: Column, digits: int = 6) -> Column:
-    """Mean of a DOUBLE to ``digits`` decimals per value. Summing in DECIMAL makes
-    the result the same whatever order the tasks finish in."""
-    return mean(col.cast(f"decimal({16 + digits},{digits})"))
+def exact_mean(col: Column, digits: int = 12) -> Column:
+    """Mean of a DOUBLE, the same whatever order the tasks finish in.
+
+    Values that DECIMAL holds well are summed there. Very small, very large and
+    special values are summed as DOUBLE beside them, so NaN and infinity make the
+    mean what ``avg`` makes of it, and nothing overflows or is cut to zero.
+    """
+    size = F.abs(col)
+    plain = ~F.isnan(col) & (size < 1e15) & ((size >= 1e-3) | (size == 0))
+    exact = F.coalesce(F.sum(F.when(plain, col).cast(f"decimal({16 + digits},{digits})")).cast("double"), F.lit(0.0))
+    rest = F.coalesce(F.sum(F.when(~plain, col)), F.lit(0.0))
+    return F.try_divide(exact + rest, F.count(col))
 
 
 def rounded(col: Column, digits: int) -> Column:

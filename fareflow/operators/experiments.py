@@ -46,7 +46,8 @@ def adaptive_config(configs: DataFrame) -> DataFrame:
 
 
 def experiment_summary(metrics: DataFrame) -> DataFrame:
-    """Throughput, latency percentiles and peak surge zones per experiment."""
+    """Throughput, latency percentiles and peak surge zones per experiment. NaN values are left out."""
+    metrics = metrics.filter(~F.isnan("value") | F.col("value").isNull())
     name, value = F.col("metric_name"), F.col("value")
     plain = metrics.groupBy("experiment_name").agg(
         rounded(exact_mean(F.when(name == THROUGHPUT, value)), 1).alias("avg_eps"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.functions.numeric import exact_mean, rounded
@@ -50,9 +50,10 @@ def metric_rollup(samples: DataFrame, seconds: int = 60, keys: tuple[str, ...] =
 
 
 def alarm_state(rollup: DataFrame, metric: str, periods: int, missing_breaches: bool,
-                above: float | None = None, below: float | None = None) -> DataFrame:
+                above: float | None = None, below: float | None = None, until: Column | None = None) -> DataFrame:
     """ALARM where the last ``periods`` minutes all breach, for every minute from
-    a scale's first to its last one. Minutes without data breach or not as told.
+    a scale's first to its last one, or to ``until`` if that is later: a scale that
+    stopped reporting is then judged too. Minutes without data breach or not as told.
 
     The minute spine grows with time only; it is built day by day, and the
     look-back crosses at most ``periods - 1`` minutes between parts.
@@ -60,7 +61,10 @@ def alarm_state(rollup: DataFrame, metric: str, periods: int, missing_breaches:
     minute = F.floor(F.unix_seconds("window_start") / F.lit(60)).cast("bigint")
     seen = rollup.filter(F.col("metric_name") == metric).select(
         "scale", minute.alias("minute"), "avg_value")
-    days = seen.groupBy("scale").agg(F.min("minute").alias("lo"), F.max("minute").alias("hi")).select(
+    last = F.max("minute")
+    if until is not None:
+        last = F.greatest(last, F.floor(F.unix_seconds(until) / F.lit(60)).cast("bigint"))
+    days = seen.groupBy("scale").agg(F.min("minute").alias("lo"), last.alias("hi")).select(
         "scale", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / DAY_MINUTES),
                                                   F.floor(F.col("hi") / DAY_MINUTES))).alias("day"))
     spine = days.repartition("scale", "day").select("scale", F.explode(F.sequence(
@@ -80,14 +84,14 @@ def alarm_state(rollup: DataFrame, metric: str, periods: int, missing_breaches:
                          F.when(alarm, "ALARM").otherwise("OK").alias("state"))
 
 
-def high_latency_alarm(rollup: DataFrame) -> DataFrame:
+def high_latency_alarm(rollup: DataFrame, until: Column | None = None) -> DataFrame:
     return alarm_state(rollup, HIGH_LATENCY["metric"], HIGH_LATENCY["periods"],
-                       HIGH_LATENCY["missing_breaches"], above=HIGH_LATENCY["above"])
+                       HIGH_LATENCY["missing_breaches"], above=HIGH_LATENCY["above"], until=until)
 
 
-def low_throughput_alarm(rollup: DataFrame) -> DataFrame:
+def low_throughput_alarm(rollup: DataFrame, until: Column | None = None) -> DataFrame:
     return alarm_state(rollup, LOW_THROUGHPUT["metric"], LOW_THROUGHPUT["periods"],
-                       LOW_THROUGHPUT["missing_breaches"], below=LOW_THROUGHPUT["below"])
+                       LOW_THROUGHPUT["missing_breaches"], below=LOW_THROUGHPUT["below"], until=until)
 
 
 def counter_rate(samples: DataFrame, keys: list[str], ts: str = "timestamp", value: str = "value",
@@ -115,22 +119,33 @@ def counter_rate_windowed(samples: DataFrame, keys: list[str], seconds: int = 60
 
 
 def no_data_streak(samples: DataFrame, keys: list[str], interval_seconds: int = 10, streak: int = 3,
-                   ts: str = "timestamp") -> DataFrame:
-    """Runs of at least ``streak`` scrapes without data between two with data.
+                   ts: str = "timestamp", since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Runs of at least ``streak`` scrapes without data between two with data; with
+    ``since`` also before a series' first, with ``until`` also after its last, where
+    ``resumed_at`` is null.
 
     Works on the slots that do have data and looks at the gap to the one before,
     so the empty scrapes are never spelled out.
     """
-    slot = F.floor(F.unix_micros(F.col(ts)) / F.lit(interval_seconds * 1_000_000)).cast("bigint")
+    slot_of = lambda t: F.floor(F.unix_micros(t) / F.lit(interval_seconds * 1_000_000)).cast("bigint")
+    slot = slot_of(F.col(ts))
     slots = samples.groupBy(*keys, slot.alias("slot")).agg(F.min(ts).alias("__at"))
     rows = carry(with_block(slots, keys, "__at"), {"__hi": F.max("slot")},
                  {"__earlier": F.max("__hi").over(before())})
-    gaps = rows.withColumn("__prev", F.coalesce(F.lag("slot").over(in_block(["slot"])), F.col("__earlier")))
+    gaps = rows.withColumn("__prev", F.coalesce(F.lag("slot").over(in_block(["slot"])), F.col("__earlier"),
+                                                 F.lit(None) if since is None else slot_of(since) - 1))
     empty = F.col("slot") - F.col("__prev") - 1
     at = lambda s: F.timestamp_seconds(s * interval_seconds)
-    return gaps.filter(empty >= streak).select(
+    closed = gaps.filter(empty >= streak).select(
         *keys, at(F.col("__prev") + streak).alias("warned_at"), empty.alias("empty_scrapes"),
         at(F.col("slot")).alias("resumed_at"))
+    if until is None:
+        return closed
+    rest = slot_of(until) - F.col("last")
+    still = slots.groupBy(*keys).agg(F.max("slot").alias("last")).filter(rest >= streak).select(
+        *keys, at(F.col("last") + streak).alias("warned_at"), rest.alias("empty_scrapes"),
+        F.lit(None).cast("timestamp").alias("resumed_at"))
+    return closed.unionByName(still)
 
 
 def outage_intervals(samples: DataFrame, keys: list[str], ts: str = "timestamp", value: str = "value",
@@ -138,9 +153,10 @@ def outage_intervals(samples: DataFrame, keys: list[str], ts: str = "timestamp",
     """Runs of zero throughput: first zero, first non-zero after it, seconds down.
 
     A run and the sample that ends it share the position of the last live sample
-    before them. Recovery is null while an outage lasts.
+    before them. Recovery is null while an outage lasts. The value ends the order,
+    so rows that stay tied are alike and their positions do not matter.
     """
-    order = [F.col(ts), *(ties or [])]
+    order = [F.col(ts), *(ties or []), F.col(value)]
     live = F.col(value) != 0
     blocked = with_block(samples.filter(F.col(value).isNotNull()), keys, ts)
     start = F.coalesce(F.sum("__n").over(before()), F.lit(0))

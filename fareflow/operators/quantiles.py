@@ -5,10 +5,10 @@
 ``approximate``  Spark's mergeable sketch
 
 The exact kinds never bring a whole group into one task. Rows first shrink to
-(group, value, count). Each group's value range is cut into bins of about equal
-size by a sketch; only bin totals are ordered per group, and only the bins that
-hold a wanted position are sorted, each in its own task. The sketch decides how
-even the bins are, never the result.
+(group, value, count). A value's bin is a fixed, monotone function of the value
+alone, narrow in proportion to its size; only bin totals are ordered per group,
+and only the bins that hold a wanted position are sorted, each in its own task.
+Nothing depends on the order in which rows or shuffle blocks arrive.
 """
 
 from __future__ import annotations
@@ -33,6 +33,16 @@ def bin_of(value: str, cuts: str, bins: int) -> Column:
         F.get(F.col(cuts), at + jump - 1) < F.col(value), at + jump).otherwise(at))
 
 
+def fixed_bin(value: Column, bins: int = BINS) -> Column:
+    """A bin number that never falls as the value grows: about 1/``bins`` of the value
+    wide beyond 1. NaN comes last, as in Spark's order."""
+    size = F.least(F.abs(value), F.lit(1.7e308))
+    step = F.floor(F.log(size + 1) * bins).cast("bigint")
+    end = 1000 * bins  # above every finite bin
+    return (F.when(F.isnan(value), end + 1).when(value == float("inf"), end).when(value == float("-inf"), -end)
+            .when(value < 0, -step).otherwise(step))
+
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
                     method: str = "linear", bins: int = BINS) -> DataFrame:
     """One row per key with a column for every entry of ``points`` (name -> 0..1).
@@ -45,24 +55,23 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str
     group = "__group"
     hist = (df.select(F.struct(*keys).alias(group), F.col(value).cast("double").alias("__v"))
             .filter(F.col("__v").isNotNull())
-            .groupBy(group, "__v").agg(F.count("*").alias("__n")))
-    shape = hist.groupBy(group).agg(F.sum("__n").alias("__total"), cut_points("__v", bins).alias("__cuts"))
-    binned = hist.join(shape, group).select(group, "__v", "__n", "__total",
-                                            bin_of("__v", "__cuts", bins).alias("__bin"))
+            .groupBy(group, "__v").agg(F.count("*").alias("__n"))
+            .withColumn("__bin", fixed_bin(F.col("__v"), bins)))
 
     total = F.col("__total")
     wanted = F.array_distinct(F.concat(*[F.array(*_positions(total, p, method)) for p in points.values()]))
-    before_bin = Window.partitionBy(group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    hit_bins = (binned.groupBy(group, "__bin").agg(F.sum("__n").alias("__size"),
-                                                   F.max("__total").alias("__total"))
+    all_bins = Window.partitionBy(group)
+    before_bin = all_bins.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
+    hit_bins = (hist.groupBy(group, "__bin").agg(F.sum("__n").alias("__size"))
+                .withColumn("__total", F.sum("__size").over(all_bins))
                 .withColumn("__start", F.coalesce(F.sum("__size").over(before_bin), F.lit(0)))
                 .withColumn("__wanted", F.filter(wanted, lambda pos: (pos >= F.col("__start"))
                                                  & (pos < F.col("__start") + F.col("__size"))))
                 .filter(F.size("__wanted") > 0)
-                .select(group, "__bin", "__start", "__wanted"))
+                .select(group, "__bin", "__start", "__wanted", "__total"))
 
     in_bin = Window.partitionBy(group, "__bin").orderBy("__v")
-    ranked = (binned.join(hit_bins, [group, "__bin"])
+    ranked = (hist.join(hit_bins, [group, "__bin"])
               .withColumn("__last", F.col("__start") + F.sum("__n").over(in_bin) - 1)
               .withColumn("__first", F.col("__last") - F.col("__n") + 1)
               .filter(F.exists("__wanted", lambda pos: pos.between(F.col("__first"), F.col("__last")))))
@@ -94,12 +103,6 @@ def _value(total: Column, i: int, p: float, method: str) -> Column:
     return low + (F.col(f"__p{i}_1") - low) * (exact - F.floor(exact))
 
 
-def nearest_rank(ordered: Column, p: float) -> Column:
-    """The ``nearest`` percentile of a short sorted array; 0 if it is empty."""
-    n = F.size(ordered)
-    return F.coalesce(F.get(ordered, F.least(F.floor(n * F.lit(float(p))).cast("int"), n - 1)), F.lit(0.0))
-
-
 def approx_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
                      accuracy: int = 10000) -> DataFrame:
     """Sketch percentiles: one shuffle, error below 1/accuracy of the rank."""

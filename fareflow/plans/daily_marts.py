@@ -65,7 +65,7 @@ def run(spark: SparkSession, trips_root: str, out: str, date: str,
     staged = shared_dir(spark, "trip-rollup")
     marts.trip_rollup(trips.observe(seen, F.count("*").alias("n"))).write.parquet(staged)
     built = build_marts(trips, spark.read.parquet(staged))
-    files.write_marts(built, out)
+    files.write_marts(built, out, date)
     heatmap = files.read_mart(spark, out, "zone_heatmap").filter(F.col("date") == F.lit(date).cast("date"))
     upsert_zone_demand(heatmap, f"{out}/zone_demand", date)
     return RunReport(date, True, "done", size, seen.get["n"])

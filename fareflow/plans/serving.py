@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +42,12 @@ QUERIES = {
 
 
 def query(spark: SparkSession, name: str, **tables: DataFrame) -> DataFrame:
-    """Run a saved query on registered tables, or on the DataFrames given."""
-    spark_sql = QUERIES[name]
-    for table, df in tables.items():
-        df.createOrReplaceTempView(table)
-    return spark.sql(spark_sql)
+    """Run a saved query on registered tables, or on the DataFrames given, which
+    stand in for this query only: no view of the session is replaced."""
+    sql = QUERIES[name]
+    for table in tables:
+        sql = re.sub(rf"\b{table}\b", f"{{{table}}}", sql)
+    return spark.sql(sql, **tables)
 
 
 def serving_view(speed: DataFrame, batch: DataFrame, keys: list[str], version: str) -> DataFrame:

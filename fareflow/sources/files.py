@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareflow import schemas
+from fareflow.sources import keyed
 
+# The smallest input worth a run, the time format, the partitions of the marts.
 MIN_INPUT_BYTES = 1_048_576
 CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
 
+METRIC_FILES = "{metrics_*,part-*}.csv"
 MART_PARTITIONS = {"driver_earnings": ("city_id", "date"), "zone_heatmap": ("city_id", "date"),
                    "surge_analysis": ("city_id", "date"), "city_stats": ("date",)}
 
@@ -72,9 +75,10 @@ def empty_input_gate(df: DataFrame) -> bool:
 
 # -- marts -------------------------------------------------------------------
 
-def write_marts(marts: dict[str, DataFrame], out: str) -> None:
+def write_marts(marts: dict[str, DataFrame], out: str, date: str | None = None) -> None:
     """Partitioned Parquet. Only the partitions present in a mart are replaced,
-    so a day's run leaves the other days alone.
+    so a day's run leaves the other days alone. With ``date`` the whole day is
+    replaced: partitions of it that the run did not write again are removed.
 
     The rebalance hint gives each output partition few files and lets AQE split
     a city that is much larger than the others. The marts are independent jobs
@@ -84,12 +88,30 @@ def write_marts(marts: dict[str, DataFrame], out: str) -> None:
         parts = MART_PARTITIONS[name]
         (marts[name].hint("rebalance", *parts).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{out}/{name}"))
+        if date is not None:
+            _drop_stale(session, f"{out}/{name}", date, began[name])
 
     session = next(iter(marts.values())).sparkSession
+    began = {name: _partition_files(session, f"{out}/{name}", date) if date else set() for name in marts}
     with ThreadPoolExecutor(max_workers=len(marts)) as pool:
         list(pool.map(inheritable_thread_target(session)(write), marts))
 
 
+def _partition_files(spark: SparkSession, root: str, date: str) -> set[str]:
+    """Files of a day's partitions, whatever comes before the date in the path."""
+    fs, _ = keyed.hadoop_path(spark, root)
+    found = [s for depth in (f"date={date}", f"*/date={date}")
+             for s in fs.globStatus(keyed.hadoop_path(spark, f"{root}/{depth}/part-*")[1]) or []]
+    return {s.getPath().toString() for s in found}
+
+
+def _drop_stale(spark: SparkSession, root: str, date: str, before: set[str]) -> None:
+    """Remove the day's files that were there before the run and that it did not replace."""
+    fs, _ = keyed.hadoop_path(spark, root)
+    for path in before & _partition_files(spark, root, date):
+        fs.delete(keyed.hadoop_path(spark, path)[1], False)
+
+
 def read_mart(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{name}")
 
@@ -100,7 +122,7 @@ def register_marts(spark: SparkSession, out: str, names=tuple(MART_PARTITIONS),
     external tables whose partitions are discovered."""
     for name in names:
         if database is None:
-            spark.read.option("mergeSchema", True).parquet(f"{out}/{name}").createOrReplaceTempView(name)
+            read_mart(spark, out, name).createOrReplaceTempView(name)
             continue
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
         table = f"{database}.{name}"
@@ -120,11 +142,11 @@ def write_metrics(samples: DataFrame, root: str) -> None:
      .partitionBy("experiment").option("header", True).csv(root))
 
 
-def read_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_metrics(spark: SparkSession, path: str | list[str], names: str = METRIC_FILES) -> DataFrame:
     """All metric files under a path; unreadable files are skipped, a bad time
-    becomes null."""
+    becomes null. ``names`` keeps fault logs of the same folder out."""
     raw = (spark.read.schema(schemas.METRIC).option("header", True).option("ignoreCorruptFiles", True)
-           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path))
+           .option("recursiveFileLookup", True).option("pathGlobFilter", names).csv(path))
     return raw.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
 
 
@@ -146,5 +168,5 @@ def read_fault_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """One CSV file; the summary has one row per experiment."""
-    summary.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """One CSV file; the summary has one row per experiment. Only its rows meet in one task."""
+    summary.repartition(1).write.mode("overwrite").option("header", True).csv(path)

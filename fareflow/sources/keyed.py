@@ -2,9 +2,11 @@
 
 Each micro-batch appends its rows under ``changes/batch_id=N``; writing the same
 batch again replaces that folder, so a replay changes nothing. Readers keep the
-newest row per key. ``compact`` folds finished batches into a snapshot. Folders
-count only once their write completed. A micro-batch thus never rewrites, or
-even reads, the table it updates.
+newest row per key. ``compact`` folds finished batches into a snapshot and lists
+them, with the time they were finished, in a manifest. A batch that is new, or was
+written again, after that is read beside the snapshot whatever its number, so a
+backfill of an older day counts. Folders count only once their write completed. A
+micro-batch thus never rewrites, or even reads, the table it updates.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 from fareflow.operators.keys import best_row
 
 VERSION = "batch_id"
+FRESH = "__fresh"
 
 
 def upsert(batch: DataFrame, root: str, batch_id: int) -> None:
@@ -25,53 +28,67 @@ def upsert(batch: DataFrame, root: str, batch_id: int) -> None:
 def read_current(spark: SparkSession, root: str, keys: list[str], as_of: int | None = None) -> DataFrame:
     """The newest row per key, optionally as of an earlier batch."""
     base = max(_complete(spark, f"{root}/snapshots", as_of), default=None)
-    newer = [n for n in _complete(spark, f"{root}/changes", as_of) if base is None or n > base]
+    pending = sorted(set(_complete(spark, f"{root}/changes", as_of).items()) - set(_manifest(spark, root, base).items()))
     parts = []
     if base is not None:
-        parts.append(spark.read.parquet(f"{root}/snapshots/upto={base}"))
-    if newer:
+        parts.append(spark.read.parquet(f"{root}/snapshots/upto={base}").withColumn(FRESH, F.lit(0)))
+    if pending:
         parts.append(spark.read.option("basePath", f"{root}/changes").parquet(
-            *[f"{root}/changes/{VERSION}={n}" for n in newer]))
+            *[f"{root}/changes/{VERSION}={n}" for n, _ in pending]).withColumn(FRESH, F.lit(1)))
     if not parts:
         raise ValueError(f"no finished batch under {root}")
     parts = [part.withColumn(VERSION, F.col(VERSION).cast("bigint")) for part in parts]
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    return best_row(rows, keys, [-F.col(VERSION)])
+    return best_row(rows, keys, [-F.col(VERSION), -F.col(FRESH)]).drop(FRESH)
 
 
 def compact(spark: SparkSession, root: str, keys: list[str], upto: int, keep: Column | None = None) -> None:
     """Write the state after batch ``upto`` as a snapshot.
 
     ``keep`` drops expired rows. Older files stay, so readers that started
-    before are not disturbed; ``prune`` removes them later.
+    before are not disturbed; ``prune`` removes them later. The manifest comes
+    first and lists what was there before reading began: a batch that lands
+    meanwhile is read again, never missed.
     """
+    covered = _complete(spark, f"{root}/changes", upto)
     current = read_current(spark, root, keys, as_of=upto)
+    (spark.createDataFrame(sorted(covered.items()), f"{VERSION} bigint, finished bigint").coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}/manifests/upto={upto}"))
     (current if keep is None else current.filter(keep)).write.mode("overwrite").option(
         "partitionOverwriteMode", "static").parquet(f"{root}/snapshots/upto={upto}")
 
 
 def prune(spark: SparkSession, root: str, keep_batches: int) -> int:
-    """Delete change folders that the newest snapshot covers, except the last
-    ``keep_batches`` before it, which slow readers may still use."""
-    base = max(_complete(spark, f"{root}/snapshots"), default=None)
+    """Delete change folders that the newest snapshot holds, except the last
+    ``keep_batches`` before it, which slow readers may still use, and older
+    snapshots. Returns the number of change folders."""
+    snapshots = _complete(spark, f"{root}/snapshots")
+    base = max(snapshots, default=None)
+    held = _manifest(spark, root, base)
+    fs = hadoop_path(spark, root)[0]
+    for n in snapshots:
+        if n < base - keep_batches:
+            for kind in ("snapshots", "manifests"):
+                fs.delete(hadoop_path(spark, f"{root}/{kind}/upto={n}")[1], True)
+    old = [n for n, at in _complete(spark, f"{root}/changes").items() if held.get(n) == at and n <= base - keep_batches]
+    return sum(fs.delete(hadoop_path(spark, f"{root}/changes/{VERSION}={n}")[1], True) for n in old)
+
+
+def _manifest(spark: SparkSession, root: str, base: int | None) -> dict[int, int]:
+    """Batches that the snapshot ``base`` holds, and when each was finished."""
     if base is None:
-        return 0
-    fs = _path(spark, root)[0]
-    old = [n for n in _complete(spark, f"{root}/changes") if n <= base - keep_batches]
-    return sum(fs.delete(_path(spark, f"{root}/changes/{VERSION}={n}")[1], True) for n in old)
+        return {}
+    return dict(tuple(r) for r in spark.read.schema(f"{VERSION} bigint, finished bigint").parquet(f"{root}/manifests/upto={base}").collect())
 
 
-def _complete(spark: SparkSession, folder: str, as_of: int | None = None) -> list[int]:
-    """Numbers of the ``name=N`` folders whose write finished."""
-    fs, parent = _path(spark, folder)
-    if not fs.exists(parent):
-        return []
-    found = {int(s.getPath().getName().split("=")[1]): s.getPath() for s in fs.listStatus(parent)
-             if s.isDirectory() and "=" in s.getPath().getName()}
-    return sorted(n for n, path in found.items() if (as_of is None or n <= as_of)
-                  and fs.exists(_path(spark, f"{path.toString()}/_SUCCESS")[1]))
+def _complete(spark: SparkSession, folder: str, as_of: int | None = None) -> dict[int, int]:
+    """Numbers of the ``name=N`` folders whose write finished, and when: one listing."""
+    fs, marks = hadoop_path(spark, f"{folder}/*/_SUCCESS")
+    found = {int(s.getPath().getParent().getName().split("=")[1]): s.getModificationTime()
+             for s in fs.globStatus(marks) or [] if "=" in s.getPath().getParent().getName()}
+    return {n: at for n, at in sorted(found.items()) if as_of is None or n <= as_of}
 
 
-def _path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), jpath

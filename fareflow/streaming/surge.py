@@ -9,7 +9,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from fareflow import schemas
 from fareflow.operators import surge
@@ -18,14 +18,15 @@ from fareflow.sources import keyed
 
 WINDOW_KEYS = ["zone_id", "city_id", "window_start"]
 RECORD_KEYS = ["zone_id", "timestamp"]
-SMALL_BATCH = 100_000  # zone windows; above this, latency tails are ranked in parallel
 
 
 @dataclass(frozen=True)
 class SurgeJob:
-    """Where and how the stream writes. Three keyed tables live under ``root``:
+    """Where and how the stream writes. Keyed tables live under ``root``:
     ``windows`` (every zone window), ``surge_pricing`` (the busiest window of
-    each zone and batch) and ``kpis`` (one row per batch)."""
+    each zone and batch), ``kpis`` and ``lineage`` (start and end of every batch,
+    failed ones too). Every ``compact_every`` batches the first two are compacted;
+    rows older than ``keep_hours`` expire then."""
 
     root: str
     checkpoint: str
@@ -33,6 +34,9 @@ class SurgeJob:
     scale_level: str = "5K"
     watermark_seconds: int | None = None
     with_kpis: bool = True
+    source: str = "gps-normal"
+    compact_every: int = 500
+    keep_hours: int = 24
 
     @property
     def delay(self) -> str:
@@ -52,9 +56,9 @@ def write_batch(job: SurgeJob):
     def write(batch: DataFrame, batch_id: int) -> None:
         started = F.lit(datetime.now(timezone.utc))
         zones = surge.with_latency(surge.with_surge(batch), started).persist()
+        begun = datetime.now(timezone.utc)
         try:
-            size = zones.count()
-            if size == 0:
+            if zones.isEmpty():
                 return
             busiest = surge.dedupe_zone(zones)
             tables = {
@@ -62,14 +66,20 @@ def write_batch(job: SurgeJob):
                 "surge_pricing": surge.surge_records(busiest, job.window_seconds, job.scale_level,
                                                      F.lit(batch_id), started)}
             if job.with_kpis:
-                kpis = surge.batch_kpis(busiest.withColumn("batch_id", F.lit(batch_id)), job.window_seconds,
-                                        small=size <= SMALL_BATCH)
+                kpis = surge.batch_kpis(busiest.withColumn("batch_id", F.lit(batch_id)), job.window_seconds)
                 tables["kpis"] = kpis.select(F.lit(batch_id).alias("batch"), started.alias("computed_at"),
                                              F.lit(job.scale_level).alias("scale_level"), "*")
             put = inheritable_thread_target(zones.sparkSession)(
                 lambda name: keyed.upsert(tables[name], f"{job.root}/{name}", batch_id))
             with ThreadPoolExecutor(len(tables)) as pool:
                 list(pool.map(put, tables))
+            count = zones.agg(F.sum("total_events")).first()[0]
+            _note(zones.sparkSession, job, batch_id, begun, count, None)
+            if batch_id and batch_id % job.compact_every == 0:
+                tidy(zones.sparkSession, job, batch_id)
+        except Exception as error:
+            _note(zones.sparkSession, job, batch_id, begun, None, str(error))
+            raise
         finally:
             zones.unpersist()
 
@@ -98,19 +108,43 @@ def surge_table(spark, job: SurgeJob) -> DataFrame:
     return keyed.read_current(spark, f"{job.root}/surge_pricing", RECORD_KEYS)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Aggregated rows that came behind the watermark, over the recent batches."""
-    return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress
-               for op in batch["stateOperators"])
+def _note(spark: SparkSession, job: SurgeJob, batch_id: int, begun: datetime, count: int | None, error: str | None) -> None:
+    """Start and end of a batch as lineage events; a batch that runs again replaces its own."""
+    key, ended = f"{job.checkpoint}/{batch_id}", datetime.now(timezone.utc)
+    rows = [(key, "start", "streaming", job.source, None, count, 2, None, None, begun),
+            (key, "end", "streaming", None, "surge_pricing", None, None, "failed" if error else "success", error, ended)]
+    keyed.upsert(spark.createDataFrame(rows, schemas.LINEAGE_EVENT).withColumnRenamed(keyed.VERSION, "batch").coalesce(1),
+                 f"{job.root}/lineage", batch_id)
 
 
-def progress_lineage(query: StreamingQuery, stage: str, source: str, sink: str) -> DataFrame:
-    """Lineage events of a stream's recent batches, from its own progress log."""
-    rows = []
-    for batch in query.recentProgress:
-        began = datetime.fromisoformat(batch["timestamp"].replace("Z", "+00:00"))
-        ended = began + timedelta(milliseconds=batch["durationMs"]["triggerExecution"])
-        key, count = f"{batch['runId']}/{batch['batchId']}", batch["numInputRows"]
-        rows.append((key, "start", stage, source, None, count, 2, None, None, began))
-        rows.append((key, "end", stage, None, sink, None, None, "success", None, ended))
-    return SparkSession.active().createDataFrame(rows, schemas.LINEAGE_EVENT)
+def tidy(spark: SparkSession, job: SurgeJob, batch_id: int) -> None:
+    """Compact the tables as of a batch, drop what expired, remove files no reader needs."""
+    oldest = F.lit(datetime.now(timezone.utc) - timedelta(hours=job.keep_hours))
+    for name, keys, time in (("windows", WINDOW_KEYS, "window_end"), ("surge_pricing", RECORD_KEYS, "computed_at")):
+        keyed.compact(spark, f"{job.root}/{name}", keys, batch_id, keep=F.col(time) >= oldest)
+        keyed.prune(spark, f"{job.root}/{name}", keep_batches=job.compact_every)
+
+
+def lineage_events(spark: SparkSession, job: SurgeJob) -> DataFrame:
+    """Lineage events of all batches so far."""
+    return keyed.read_current(spark, f"{job.root}/lineage", ["batch", "kind"]).drop(keyed.VERSION).withColumnRenamed("batch", keyed.VERSION)
+
+
+class LateRows(StreamingQueryListener):
+    """Counts aggregated rows that came behind the watermark, over all batches of the
+    queries that run while it is registered with ``spark.streams.addListener``."""
+
+    def __init__(self) -> None:
+        self.total = 0
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.total += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass

@@ -167,3 +167,47 @@ def test_pareto(spark, bins):
     got = sorted(r.id for r in experiments.pareto_frontier(df, "x", "y", bins).collect())
     want = [i for i, x, y in points if not any(a <= x and b <= y and (a, b) != (x, y) for _, a, b in points)]
     assert got == sorted(want)
+
+
+def test_quantiles_do_not_depend_on_row_order(spark):
+    values = [float("-inf"), -1e300, -3.5, -0.0, 0.0, 1e-9, 2e-9, 0.5, 1.0, 1.0000001, 7.0, 7.1, 1e6, 1e300, float("inf"), float("nan")]
+    points = {f"p{i}": i / 15 for i in range(16)}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for seed in (1, 2):
+            rows = [("g", v) for v in values]
+            random.Random(seed).shuffle(rows)
+            df = spark.createDataFrame(rows, "key string, value double").repartition(5)
+            got = list(quantiles.exact_quantiles(df, ["key"], "value", points, "nearest").first())[1:]
+            want = sorted(values[:-1]) + [values[-1]]
+            assert [str(abs(g) if g == 0 else g) for g in got] == [str(abs(w) if w == 0 else w) for w in (want[min(int(16 * i / 15), 15)] for i in range(16))]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_means_of_special_values(spark):
+    from fareflow.functions.numeric import exact_mean
+    rows = [("tiny", 4e-7), ("tiny", 4e-7), ("huge", 1e17), ("huge", 3e17), ("nan", 1.0), ("nan", float("nan")), ("inf", 1.0), ("inf", float("inf")), ("none", None)]
+    got = {r.k: r.m for r in spark.createDataFrame(rows, "k string, v double").groupBy("k").agg(exact_mean(F.col("v")).alias("m")).collect()}
+    assert got["tiny"] == pytest.approx(4e-7) and got["huge"] == pytest.approx(2e17)
+    assert math.isnan(got["nan"]) and got["inf"] == float("inf") and got["none"] is None
+
+
+def test_alarm_of_a_scale_that_stopped(spark):
+    rows = [("A", m, 50.0) for m in range(2)] + [("B", m, 50.0) for m in range(30)]
+    rollup = spark.createDataFrame(rows, "scale string, m long, avg_value double").select(
+        "scale", F.lit("KafkaEventsPerSecond").alias("metric_name"), F.timestamp_seconds(F.col("m") * 60).alias("window_start"), "avg_value")
+    now = F.timestamp_seconds(F.lit(29 * 60))
+    states = [(r.scale, r.state) for r in observability.low_throughput_alarm(rollup, until=now).orderBy("scale", "window_start").collect()]
+    assert states == [("A", "OK")] * 4 + [("A", "ALARM")] * 26 + [("B", "OK")] * 30
+    assert observability.low_throughput_alarm(rollup).count() == 32
+
+
+def test_empty_scrapes_at_both_ends(spark):
+    rows = spark.createDataFrame([("a", 100), ("a", 110), ("b", 30)], "k string, s long").select("k", F.timestamp_seconds("s").alias("timestamp"))
+    at = lambda s: F.timestamp_seconds(F.lit(s))
+    found = observability.no_data_streak(rows, ["k"], since=at(0), until=at(145)).select(
+        "k", F.unix_seconds("warned_at").alias("w"), "empty_scrapes", F.unix_seconds("resumed_at").alias("r"))
+    assert set(map(tuple, found.collect())) == {("a", 20, 10, 100), ("a", 140, 3, None), ("b", 20, 3, 30), ("b", 60, 11, None)}
+    assert observability.no_data_streak(rows, ["k"]).count() == 0

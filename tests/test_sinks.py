@@ -95,12 +95,39 @@ def test_keyed_table(spark, tmp_path):
     assert state() == {"b": 2, "c": 9, "d": 1}
 
 
+def test_backfill_after_compaction(spark, tmp_path):
+    root = str(tmp_path / "days")
+    put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "k string, v int"), root, n)
+    state = lambda: {r.k: r.v for r in keyed.read_current(spark, root, ["k"]).collect()}
+    put([("a", 3)], 20240103)
+    keyed.compact(spark, root, ["k"], upto=20240103)
+    put([("a", 2), ("b", 2)], 20240102)
+    put([("c", 1)], 20240101)
+    assert state() == {"a": 3, "b": 2, "c": 1}
+    assert keyed.prune(spark, root, keep_batches=0) == 1  # the two days are not in the snapshot yet
+    assert state() == {"a": 3, "b": 2, "c": 1}
+    put([("a", 4)], 20240103)
+    assert state()["a"] == 4
+
+
+def test_rerun_replaces_the_whole_day(spark, tmp_path):
+    out, trips = str(tmp_path / "m"), p.trips(spark, SF).filter("date in ('2024-01-03', '2024-01-05')")
+    cities = lambda day: {r.city_id for r in files.read_mart(spark, out, "driver_earnings").filter(f"date = '{day}'").select("city_id").distinct().collect()}
+    files.write_marts(daily_marts.build_marts(trips), out)
+    other, gone = cities("2024-01-05"), sorted(cities("2024-01-03"))[0]
+    rerun = trips.filter(f"date = '2024-01-03' AND city_id <> '{gone}'")
+    before = cities("2024-01-03")
+    files.write_marts(daily_marts.build_marts(rerun), out, "2024-01-03")
+    assert cities("2024-01-03") == before - {gone} and cities("2024-01-05") == other
+
+
 def test_metrics_files(spark, tmp_path):
-    good, bad = tmp_path / "exp" / "a.csv", tmp_path / "exp" / "b.csv"
+    good, bad = tmp_path / "exp" / "metrics_a.csv", tmp_path / "exp" / "metrics_b.csv"
     good.parent.mkdir()
     head = "timestamp,experiment_name,source,metric_name,value,labels\n"
     good.write_text(head + "2026-04-16T04:20:41.123Z,e,spark,spark_batch_latency_ms,5.5,\n")
     bad.write_text(head + "yesterday,e,spark,spark_batch_latency_ms,oops,\n")
+    (tmp_path / "exp" / "fault_events.csv").write_text("FAULT_INJECT,100,kill\nRECOVERY_START,110,\n")  # not metrics
     rows = files.read_metrics(spark, str(tmp_path / "exp")).orderBy("value").collect()
     assert [(r.value, r.timestamp is None) for r in rows] == [(None, True), (5.5, False)]
     one, two = rows and files.read_metrics(spark, str(good)), spark.range(1).select(F.lit("x").alias("metric_name"))

@@ -47,12 +47,19 @@ def test_update_late_and_restart(spark, tmp_path):
     drop_file(spark, folder, [("A", "on_trip", 1009), ("A", "on_trip", 1061)], 2)   # same window again, then ahead
     drop_file(spark, folder, [("A", "on_trip", 1065)], 3)
     drop_file(spark, folder, [("A", "on_trip", 1002), ("A", "on_trip", 1066)], 4)   # 1002 is behind the watermark
-    query = run(spark, folder, job)
+    late = surge_stream.LateRows()
+    spark.streams.addListener(late)
+    run(spark, folder, job)
     first = counts(spark, job)
     assert first == {("A", 1000): (2, 3), ("B", 1000): (1, 1), ("A", 1060): (3, 3)}
-    assert surge_stream.late_rows(query) == 1
-    done = lineage.lineage(surge_stream.progress_lineage(query, "streaming", "gps-normal", "surge_pricing")).collect()
-    assert len(done) >= 4 and sum(r.record_count for r in done) == 8 and {r.status for r in done} == {"success"}
+    for _ in range(50):  # progress arrives after the batch
+        if late.total:
+            break
+        time.sleep(0.2)
+    spark.streams.removeListener(late)
+    assert late.total == 1
+    done = lineage.lineage(surge_stream.lineage_events(spark, job)).collect()
+    assert len(done) == 4 and {r.status for r in done} == {"success"}
     run(spark, folder, job)
     assert counts(spark, job) == first
     drop_file(spark, folder, [("B", "on_trip", 1071), ("A", "on_trip", 1068)], 5)
@@ -75,6 +82,25 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert {r["count"] for r in per_zone} == {1}
 
 
+def test_failed_batch_leaves_lineage(spark, tmp_path):
+    job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600)
+    broken = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600).withColumn("zone_id", F.raise_error("gone").cast("string"))
+    with pytest.raises(Exception, match="gone"):
+        surge_stream.write_batch(job)(broken, 3)
+    rows = lineage.lineage(surge_stream.lineage_events(spark, job)).collect()
+    assert [(r.batch_id, r.status) for r in rows] == [("cp/3", "failed")] and "gone" in rows[0].error
+
+
+def test_tables_stay_small(spark, tmp_path):
+    job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600, with_kpis=False, compact_every=4, keep_hours=10**6)
+    zones = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600)
+    write = surge_stream.write_batch(job)
+    for n in range(1, 14):
+        write(zones, n)
+    assert len(os.listdir(f"{job.root}/windows/changes")) <= 2 * job.compact_every
+    assert sum(n for _, n in counts(spark, job).values()) == 1000
+
+
 def test_empty_batch_writes_nothing(spark, tmp_path):
     job = surge_stream.SurgeJob(str(tmp_path / "out"), "unused", 3600)
     surge_stream.write_batch(job)(surge.zone_surge(p.pings(spark, SF).limit(0), 3600), 0)
