@@ -213,6 +213,10 @@ def sets_of(documents: DataFrame, nodes: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("members").alias("members")).join(nodes, "node", "left_semi")
 
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` whose sets reach the threshold."""
     one = sets.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
@@ -243,8 +247,7 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
                    .groupBy(F.col("node").alias("a"), F.col("hub").alias("b"))
                    .agg(F.count(F.lit(1)).alias("shared"), F.max(F.least("need", "hub_need")).alias("least"))
                    .filter(F.col("shared") >= F.col("least")).select("a", "b"), "pairs")
-    sets = stored(sets_of(docs, shared.select("node").distinct()), "sets")
-    first = stored(verified(pairs, sets, percent), "links")
+    first = stored(verified(pairs, stored(sets_of(docs, nodes_of(pairs)), "sets"), percent), "links")
     roots = stored(components(first), "roots")
 
     # Round 2: pairs across components.
@@ -258,7 +261,8 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
            .agg(F.count(F.lit(1)).alias("shared"), F.max(F.least("need", "l_need")).alias("least"))
            .filter(F.col("shared") >= F.col("least")).select("a", "b"))
     done = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    second = stored(verified(met.join(done, ["a", "b"], "left_anti"), sets, percent), "links")
+    met = stored(met.join(done, ["a", "b"], "left_anti"), "pairs")
+    second = stored(verified(met, stored(sets_of(docs, nodes_of(met)), "sets"), percent), "links")
     return meta, first.unionByName(second)
 
 
