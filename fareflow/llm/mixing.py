@@ -21,6 +21,7 @@ size get the extra copy is decided by a hash of the id.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ MOST = 3
 STEPS = 60
 #: Newton stops for a source when its words are this near to the target.
 NEAR = 1e-6
+#: At most so many single copies correct what rounding left of a source's target.
+CORRECTIONS = 20
 #: Documents of one size are ranked in this many hash buckets.
 RANK_BUCKETS = 4096
 
@@ -128,6 +131,26 @@ def copies_per_size(cells: DataFrame, solved: DataFrame, most: int = MOST) -> Da
             taken = min(max(round(want / size), 0), most * n) if size else 0
             owed = want - taken * size
             total.append(taken)
+        # The smallest sizes may be too few to take the last rest: one copy more of a size, one
+        # less of another, or both, as long as that comes nearer.
+        sizes, room = group["size"].to_numpy(), most * group["n"].to_numpy()
+        total = np.array(total, np.int64)
+        for _ in range(CORRECTIONS):
+            up = np.append(np.flatnonzero((sizes > 0) & (total < room)), -1)
+            down = np.append(np.flatnonzero((sizes > 0) & (total > 0)), -1)  # from large to small; -1: none
+            more = np.where(up >= 0, sizes[up], 0)
+            less = np.where(down >= 0, sizes[down], 0)[::-1]
+            near = np.searchsorted(less, more - owed)
+            either = np.stack([np.minimum(near, len(less) - 1), np.maximum(near - 1, 0)])
+            left = np.abs(owed - more + less[either])
+            side, at = np.unravel_index(left.argmin(), left.shape)
+            if left[side, at] >= abs(owed):
+                break
+            pick = either[side, at]
+            for place, step in ((up[at], 1), (down[::-1][pick], -1)):
+                if place >= 0:
+                    total[place] += step
+            owed += less[pick] - more[at]
         return group.assign(total=total)[["source", "source_size", "target", "size", "n", "total"]]
 
     return (at.select("source", "source_size", "target", "size", "n", "rate").groupBy("source")
