@@ -38,7 +38,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 48
 SMALL = 8
-MIN_FILTER_BITS, MAX_FILTER_BITS = 16, 27
+MIN_FILTER_BITS, MAX_FILTER_BITS = 16, 24
 #: Text is searched in slices of this many bytes, or one document if that is longer.
 SLICE_BYTES = 1 << 20
 
