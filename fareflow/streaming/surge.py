@@ -17,7 +17,7 @@ from fareflow.operators.events import decode_events, drop_keyless
 from fareflow.sources import keyed
 
 WINDOW_KEYS = ["zone_id", "city_id", "window_start"]
-RECORD_KEYS = ["zone_id", "timestamp"]
+RECORD_KEYS = ["zone_id", "city_id", "timestamp"]
 
 
 @dataclass(frozen=True)
