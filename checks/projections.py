@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from fareflow.functions.pricing import final_fare
 from fareflow.session import prepare
 
-CITIES = "MUMDELBLRHYDCHNPUNKOLAMDJAISRT"
+# The cities, in order.
+CITIES = ("MUM", "DEL", "BLR", "HYD", "CHN", "PUN", "KOL", "AMD", "JAI", "SRT")
 
 
 def ev(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,8 +24,7 @@ def ev(spark: SparkSession, sf: str) -> DataFrame:
 def events_view(raw: DataFrame) -> DataFrame:
     return raw.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
                       F.get_json_object("props", "$.k").cast("int").alias("k"),
-                      F.substring(F.lit(CITIES), F.lit(1) + F.lit(3) * (F.col("user_id") % 10).cast("int"),
-                                  F.lit(3)).alias("city_id"))
+                      F.element_at(F.array(*map(F.lit, CITIES)), (F.col("user_id") % 10 + 1).cast("int")).alias("city_id"))
 
 
 def zone() -> Column:
@@ -174,7 +174,7 @@ SQL = """
 WITH ev AS (
   SELECT event_id, ts, user_id, event_type, value,
          CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         substr('MUMDELBLRHYDCHNPUNKOLAMDJAISRT', CAST(1 + 3 * (user_id % 10) AS INT), 3) AS city_id
+         ['MUM', 'DEL', 'BLR', 'HYD', 'CHN', 'PUN', 'KOL', 'AMD', 'JAI', 'SRT'][CAST(1 + user_id % 10 AS INT)] AS city_id
   FROM events),
 trips0 AS (
   SELECT CAST(event_id AS VARCHAR) AS trip_id, 'DRV_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS driver_id,
