@@ -9,9 +9,11 @@ become candidates, which at a Jaccard similarity of 0.8 happens with a chance of
 verified lines keep one line: the one in the document with the smallest doc_id,
 and in it the first.
 
-In a bucket of equal bands every line meets the bucket's smallest line first.
-Only buckets that still hold lines of different components are then compared
-across components, so a large group of near copies is never paired in full.
+In a bucket of equal bands every line meets one hub, the bucket's most central line.
+Lines that are not of the hub's component then choose a hub among themselves, and so
+on until ``IDLE_ROUNDS`` rounds link nothing; from the second round on, a pair needs two
+equal bands. The pairs of a round are never more than the bucket entries, so a large
+group of near copies is not paired in full.
 
 * blank lines and lines shorter than a shingle stay as they are.
 * null or empty text: no lines, nothing removed.
@@ -32,6 +34,10 @@ from fareflow.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS = 12
+#: The search ends after so many rounds in a row without a link.
+IDLE_ROUNDS = 2
+#: Equal bands that a pair needs after the first round.
+TWO = 2
 NO_ID = 2**63 - 1
 
 
@@ -59,49 +65,63 @@ def bands(lines: DataFrame) -> DataFrame:
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """``lid, line, at``: the different lines that share a band, with their buckets (key, hub)."""
+    """``lid, line, keys``: the different lines that share a band, with their buckets."""
     found = occurrences(documents)
     # One line per task first, so that a line that fills a third of the input is a row per task.
     lines = found.groupBy("lid").agg(F.first("line").alias("line"))
     bucket = Window.partitionBy("key").orderBy("lid")
-    shared = (bands(lines).withColumn("hub", F.first("lid").over(bucket.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("next", F.lead("lid").over(bucket)).filter("lid <> hub OR next IS NOT NULL"))
-    at = shared.groupBy("lid").agg(F.collect_list(F.struct("key", "hub")).alias("at"))
-    return lines.join(at, "lid")
+    shared = (bands(lines).withColumn("before", F.lag("lid").over(bucket)).withColumn("after", F.lead("lid").over(bucket))
+              .filter("before IS NOT NULL OR after IS NOT NULL"))
+    return lines.join(shared.groupBy("lid").agg(F.collect_list("key").alias("keys")), "lid")
 
 
-def members(line: str):
-    """The different shingles of a line."""
+def with_hubs(buckets: DataFrame) -> DataFrame:
+    """``key, lid, hub``: each bucket's most central line, the one whose buckets hold the most lines.
+
+    A line from which many others were copied shares a band with each of them and
+    becomes their hub, though they may be too far from one another.
+    """
+    held = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    central = buckets.join(held, "key").groupBy("lid").agg(F.sum("n").alias("central"))
+    best = buckets.join(central, "lid").groupBy("key").agg(F.max(F.struct("central", "lid")).alias("best"))
+    return buckets.join(best.select("key", F.col("best.lid").alias("hub")), "key")
+
+
+def shingles_of(line: str):
+    """All shingles of a line, repeated ones too."""
     raw = F.col(line).cast("binary")
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(raw) - (SHINGLE - 1)), lambda p: F.xxhash64(raw.substr(p, F.lit(SHINGLE)))))
+    return F.transform(F.sequence(F.lit(1), F.length(raw) - (SHINGLE - 1)), lambda p: F.xxhash64(raw.substr(p, F.lit(SHINGLE))))
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
     """``a, b`` of the pairs with lines ``line_a, line_b`` whose sets reach the threshold."""
-    sets = pairs.select("a", "b", members("line_a").alias("x"), members("line_b").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return sets.filter(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b")
+    lists = pairs.select("a", "b", shingles_of("line_a").alias("x"), shingles_of("line_b").alias("y"))
+    # Both functions look at different values only.
+    both, either = F.size(F.array_intersect("x", "y")), F.size(F.array_union("x", "y"))
+    return lists.filter(100 * both >= percent * either).select("a", "b")
 
 
 def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``node, root`` for lines that are near another one."""
     active = stored(candidates(documents), "lines")
-    line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
-    to_hub = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"),
-                           F.explode(F.array_distinct(F.transform("at", lambda x: x["hub"]))).alias("b")).filter("a <> b")
-    first = stored(verified(to_hub.join(line_b, "b"), percent), "links")
-    roots = stored(components(first), "roots").withColumnRenamed("node", "lid")
-
-    buckets = active.select("lid", F.explode("at").alias("x")).select("lid", "x.key", "x.hub")
-    placed = buckets.join(roots, "lid", "left").withColumn("root", F.coalesce("root", "lid"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("key")
-    placed = stored(placed.join(mixed, "key", "left_semi"), "placed")
-    left = placed.select("key", F.col("lid").alias("a"), F.col("root").alias("root_a"))
-    met = (left.join(placed, "key").filter("root_a < root AND lid <> hub AND a <> hub")
-           .select(F.greatest("a", "lid").alias("a"), F.least("a", "lid").alias("b")).distinct())
     line_a = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
-    second = stored(verified(met.join(line_a, "a").join(line_b, "b"), percent), "links")
-    return stored(components(first.unionByName(second)), "roots")
+    line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
+    left, equal, found, idle = active.select("lid", F.explode("keys").alias("key")), 1, None, 0
+    while True:
+        buckets = stored(with_hubs(left), "buckets")
+        pairs = (buckets.filter("lid <> hub").groupBy(F.col("lid").alias("a"), F.col("hub").alias("b"))
+                 .agg(F.count(F.lit(1)).alias("equal")).filter(F.col("equal") >= equal).select("a", "b"))
+        more = stored(verified(pairs.join(line_a, "a").join(line_b, "b"), percent), "links")
+        idle = idle + 1 if more.isEmpty() else 0
+        if found is None or not idle:
+            found = more if found is None else found.unionByName(more)
+            roots = stored(components(found), "roots")
+        if idle == IDLE_ROUNDS:
+            return roots
+        of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
+        placed = buckets.join(of("lid"), "lid", "left").join(of("hub"), "hub", "left")
+        left = placed.filter(F.coalesce("lid_root", "lid") != F.coalesce("hub_root", "hub")).select("lid", "key")
+        equal = TWO
 
 
 def repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
