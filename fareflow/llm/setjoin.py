@@ -52,7 +52,7 @@ VERIFY = 8.0
 SPLIT = 100_000
 
 META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, cell int, seen long"
-ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int"
+ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int, early boolean"
 
 
 def shingle_sets(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,16 +131,20 @@ def prefix_entries(documents: DataFrame, sketch: np.ndarray, percent: int = PERC
                 usual = np.log(excess[cell])
                 centre = np.bincount(doc, usual, len(sizes)) / np.maximum(sizes, 1)
                 place = (-1_000_000 * centre).astype(np.int32)
-                at = np.repeat(first[:-1], length) + np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+                position = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+                at = np.repeat(first[:-1], length) + position
                 owner = np.repeat(np.arange(len(sizes)), length)
+                # Against a partner of its size or larger, a set needs still fewer of its first shingles.
+                overlap = -(-sizes * 2 * percent // (100 + percent))
+                early = position < (sizes - overlap + need)[owner]
                 # Copies inside the slice send their prefix once.
                 _, once = np.unique(node, return_index=True)
                 keep = np.isin(owner, once)
-                at, owner = at[keep], owner[keep]
+                at, owner, early = at[keep], owner[keep], early[keep]
                 salts = (1 + excess[cell[at]] // SPLIT).astype(np.int32)
                 salt = (mix(node[owner].view(np.uint64)) % salts.astype(np.uint64)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(number[at].view(np.int64)), pa.array(salt), pa.array(salts), pa.array(place[owner]),
-                                                  pa.array(node[owner]), pa.array(sizes[owner].astype(np.int32)), pa.array(need[owner].astype(np.int32))],
+                                                  pa.array(node[owner]), pa.array(sizes[owner].astype(np.int32)), pa.array(need[owner].astype(np.int32)), pa.array(early)],
                                                  [f.strip().split(" ")[0] for f in ENTRY_SCHEMA.split(",")])
 
     return documents.mapInArrow(rows, ENTRY_SCHEMA)
@@ -160,7 +164,7 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # last run: its hub's row, and whether that row is still to be given out
         for batch in batches:
-            columns = {n: batch.column(n).to_numpy() for n in names}
+            columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
             waiting = False
             if held is not None:
                 row, waiting = held
@@ -251,12 +255,14 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     roots = stored(components(first), "roots")
 
     # Round 2: pairs across components.
-    placed = (shared.select("shingle", "node", "size", "need").join(roots, "node", "left")
+    placed = (shared.select("shingle", "node", "size", "need", "early").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("shingle")
     placed = stored(placed.join(mixed, "shingle", "left_semi"), "placed")
-    left = placed.select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root")])
-    met = (left.join(placed, "shingle").filter((F.col("l_root") < F.col("root")) & fits(F.col("size"), F.col("l_size")))
+    # Of two sets the smaller one's shingle has to be early; sets far below the threshold then never meet.
+    left = placed.filter("early").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root")])
+    smaller = (F.col("l_size") < F.col("size")) | ((F.col("l_size") == F.col("size")) & (F.col("l_node") < F.col("node")))
+    met = (left.join(placed, "shingle").filter((F.col("l_root") != F.col("root")) & smaller & fits(F.col("size"), F.col("l_size")))
            .groupBy(F.greatest("l_node", "node").alias("a"), F.least("l_node", "node").alias("b"))
            .agg(F.count(F.lit(1)).alias("shared"), F.max(F.least("need", "l_need")).alias("least"))
            .filter(F.col("shared") >= F.col("least")).select("a", "b"))
