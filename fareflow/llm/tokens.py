@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Text is turned into numbers in pieces of this many bytes, cut at white space.
-PIECE = 1 << 21
+PIECE = 1 << 16
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -25,17 +25,14 @@ BYTE_VALUES = np.random.Generator(np.random.PCG64(20240607)).integers(0, 2**64,
 LOWER_VALUES = BYTE_VALUES.copy()
 LOWER_VALUES[ord("A"):ord("Z") + 1] = BYTE_VALUES[ord("a"):ord("z") + 1]
 
-_powers = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def powers(n: int) -> list[np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the base and of its inverse modulo 2^64."""
-    if len(_powers[0]) < n:
-        for i, base in enumerate((BASE, pow(BASE, -1, 2**64))):
-            steps = np.full(n, base, U64)
-            steps[0] = 1
-            _powers[i] = np.multiply.accumulate(steps)
-    return _powers
+    out = []
+    for base in (BASE, pow(BASE, -1, 2**64)):
+        steps = np.full(n, base, U64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    return out[0], out[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -72,6 +69,7 @@ def words(column, lower: bool = False) -> Words:
     values = LOWER_VALUES if lower else BYTE_VALUES
     edges = np.zeros(len(data) + 1, bool)
     edges[offsets] = True
+    power, inverse = powers(min(PIECE, len(data)) + 1)
     numbers, starts, at = [np.zeros(0, U64)], [np.zeros(0, np.int64)], 0
     while at < len(data):
         stop = min(at + PIECE, len(data))
@@ -84,7 +82,8 @@ def words(column, lower: bool = False) -> Words:
         start[1:] &= ~inside[:-1] | edge[1:]
         last[:-1] &= ~inside[1:] | edge[1:]
         s, e = np.flatnonzero(start), np.flatnonzero(last) + 1
-        power, inverse = powers(len(part) + 1)
+        if len(part) >= len(power):  # a word went on beyond the piece
+            power, inverse = powers(len(part) + 1)
         total = np.zeros(len(part) + 1, U64)
         np.cumsum(values[part] * power[:len(part)], out=total[1:])
         numbers.append(mix((total[e] - total[s]) * inverse[s] + (e - s).astype(U64)))
