@@ -10,10 +10,10 @@ verified lines keep one line: the one in the document with the smallest doc_id,
 and in it the first.
 
 In a bucket of equal bands every line meets one hub, the bucket's most central line.
-Lines that are not of the hub's component then choose a hub among themselves, and so
-on until ``IDLE_ROUNDS`` rounds link nothing; from the second round on, a pair needs two
-equal bands. The pairs of a round are never more than the bucket entries, so a large
-group of near copies is not paired in full.
+Lines that are not near the hub then choose a hub among themselves, and so on until a
+round adds less than a thousandth of the links so far; from the second round on, a
+pair needs two equal bands. The pairs of a round are never more than the bucket
+entries, so a large group of near copies is not paired in full.
 
 * blank lines and lines shorter than a shingle stay as they are.
 * null or empty text: no lines, nothing removed.
@@ -34,8 +34,8 @@ from fareflow.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS = 12
-#: The search ends after so many rounds in a row without a link.
-IDLE_ROUNDS = 2
+#: The search ends with a round that adds no more than this share of the links so far.
+FEW = 0.001
 #: Equal bands that a pair needs after the first round.
 TWO = 2
 NO_ID = 2**63 - 1
@@ -106,22 +106,17 @@ def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     active = stored(candidates(documents), "lines")
     line_a = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
     line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
-    left, equal, found, idle = active.select("lid", F.explode("keys").alias("key")), 1, None, 0
+    left, equal, found, known = active.select("lid", F.explode("keys").alias("key")), 1, None, 0
     while True:
         buckets = stored(with_hubs(left), "buckets")
         pairs = (buckets.filter("lid <> hub").groupBy(F.col("lid").alias("a"), F.col("hub").alias("b"))
                  .agg(F.count(F.lit(1)).alias("equal")).filter(F.col("equal") >= equal).select("a", "b"))
         more = stored(verified(pairs.join(line_a, "a").join(line_b, "b"), percent), "links")
-        idle = idle + 1 if more.isEmpty() else 0
-        if found is None or not idle:
-            found = more if found is None else found.unionByName(more)
-            roots = stored(components(found), "roots")
-        if idle == IDLE_ROUNDS:
-            return roots
-        of = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"{name}_root"))
-        placed = buckets.join(of("lid"), "lid", "left").join(of("hub"), "hub", "left")
-        left = placed.filter(F.coalesce("lid_root", "lid") != F.coalesce("hub_root", "hub")).select("lid", "key")
-        equal = TWO
+        found, n = more if found is None else found.unionByName(more), more.count()
+        if n <= known * FEW:
+            return stored(components(found), "roots")
+        met = more.select(F.col("a").alias("lid"), F.col("b").alias("hub"))
+        left, equal, known = buckets.filter("lid <> hub").join(met, ["lid", "hub"], "left_anti").select("lid", "key"), TWO, known + n
 
 
 def repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
