@@ -139,11 +139,11 @@ def find_repeats(documents: DataFrame, length: int = LENGTH, first: int | None =
 def count_two(questions: DataFrame, step: int) -> DataFrame:
     """How many documents hold a number, as 1, or 2 and more."""
     def reduce(table: pa.Table) -> pa.Table:
-        asked = [np.frombuffer(x, np.uint64) for x in table["keys"].to_pylist()]
-        sent = np.concatenate([np.frombuffer(x, np.uint8) for x in table["vals"].to_pylist()])
+        asked = [B.unpacked_keys(x) for x in table["keys"].to_pylist()]
+        sent = np.concatenate([B.unpacked(x, np.uint8) for x in table["vals"].to_pylist()])
         keys, place = np.unique(np.concatenate(asked), return_inverse=True)
         total = np.minimum(np.bincount(place, sent, len(keys)), 2).astype(np.uint8)
-        back = [total[p].tobytes() for p in np.split(place, np.cumsum([len(x) for x in asked])[:-1])]
+        back = [B.packed(total[p]) for p in np.split(place, np.cumsum([len(x) for x in asked])[:-1])]
         n = len(asked)
         return pa.table({"block": table["block"], "bucket": table["bucket"], "step": pa.array([step] * n, pa.int32()),
                          "vals": pa.array(back, pa.binary()), "extra": pa.array([0] * n, pa.int64())})
