@@ -15,7 +15,7 @@ descending order of doc_id; the last one's next is the first.
 
 * null or empty text: no words; all such texts have one fingerprint, likeness 1
   among themselves and 0 to others.
-* null doc_id: the smallest id. Equal doc_ids are ordered by a hash of the text.
+* null doc_id: the smallest id (as is the smallest BIGINT, returned as null). Equal doc_ids are ordered by a hash of the text.
 * rows equal in doc_id and text are one document; each row is returned.
 * one document alone is its own next. An empty table: no rows. Other columns are ignored.
 """
@@ -77,13 +77,14 @@ def as_text(samples: str):
 
 
 def ring(ids: DataFrame) -> DataFrame:
-    """``k, tie`` with the next key in descending order, and the key and length this one is next to.
+    """``k, tie, rows`` with the next key in descending order, and the key and length this one is next to,
+    from ``k, tie, n, rows``.
 
     Ids are range partitioned and written; each range is ordered by itself, and
     one row per range joins the ranges.
     """
     n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = stored(ids.distinct().repartitionByRange(n, F.col("k").desc(), F.col("tie")).withColumn("part", F.spark_partition_id()), "ranges")
+    ranges = stored(ids.repartitionByRange(n, F.col("k").desc(), F.col("tie")).withColumn("part", F.spark_partition_id()), "ranges")
     key = F.struct("k", "tie", "n")
     order = [F.col("k").desc(), F.col("tie")]
     inner = Window.partitionBy("part").orderBy(*order)
@@ -97,35 +98,34 @@ def ring(ids: DataFrame) -> DataFrame:
         F.coalesce(F.lag(ends("l")).over(line), F.last(ends("l")).over(whole)).alias("before"))
     linked = ranges.select("*", F.lead(key).over(inner).alias("lead"), F.lag(key).over(inner).alias("lag")).join(borders, "part")
     following, preceding = F.coalesce("lead", "after"), F.coalesce("lag", "before")
-    return stored(linked.select("k", "tie", following["k"].alias("next_k"), following["tie"].alias("next_tie"),
+    return stored(linked.select("k", "tie", "rows", following["k"].alias("next_k"), following["tie"].alias("next_tie"),
                                 preceding["k"].alias("prev_k"), preceding["tie"].alias("prev_tie"), preceding["n"].alias("prev_n")), "ring")
 
 
 def compare_neighbours(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    docs = docs.select(F.coalesce("doc_id", F.lit(LOWEST)).alias("k"), F.xxhash64("text").alias("tie"), "doc_id", "text")
+    docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k"), F.xxhash64(text).alias("tie"), text.alias("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * total // TASK_BYTES))
-    order = ring(docs.select("k", "tie", F.char_length("text").cast("long").alias("n")))
-    own = (docs.repartition(tasks, "k", "tie").groupBy("k", "tie")
-           .agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("rows")).join(order, ["k", "tie"]))
+    order = ring(docs.groupBy("k", "tie").agg(F.first(F.char_length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("rows")))
+    # One exchange of the texts serves both uses below, as neither needs more columns than the other.
+    own = docs.repartition(tasks, "k", "tie").groupBy("k", "tie").agg(F.first("text").alias("text")).join(order, ["k", "tie"])
     half = lambda n: F.floor(n / 2).cast("int")
     heads = (own.select(F.col("prev_k").alias("k"), F.col("prev_tie").alias("tie"), F.left("text", half(F.col("prev_n"))).alias("head"))
              .repartition(tasks, "k", "tie"))
     n = F.char_length("text")
     edited = F.concat(F.left("text", n - half(n)), F.col("head"))
-    both = own.join(heads, ["k", "tie"]).select("k", "tie", "doc_id", "rows", "next_k", "next_tie", "text", edited.alias("edited"))
+    both = own.join(heads, ["k", "tie"]).select("k", "tie", "rows", "next_k", "next_tie", "text", edited.alias("edited"))
     versions = both.select("k", "tie", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
     prints = fingerprints(versions.select("k", "tie", "x.v", "x.text"), ["k", "tie", "v"], samples)
     # Both versions of a document in one row: still one partitioning.
     none = F.array_repeat(F.lit(0).cast("long"), samples)
     pair = prints.groupBy("k", "tie").agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
-    facts = both.select("k", "tie", "doc_id", "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
+    facts = both.select("k", "tie", "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
     known = stored(facts.join(pair, ["k", "tie"], "left").withColumn("own", F.coalesce("own", none)).withColumn("changed", F.coalesce("changed", none)), "prints")
     after = known.select(F.col("k").alias("next_k"), F.col("tie").alias("next_tie"), F.col("own").alias("next_own"))
     return (known.join(after, ["next_k", "next_tie"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-            .select("doc_id", "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
+            .select(F.when(F.col("k") != LOWEST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
                     likeness("own", "changed").alias("near_edited"), likeness("own", "next_own").alias("near_next")))
