@@ -9,11 +9,18 @@ become candidates, which at a Jaccard similarity of 0.8 happens with a chance of
 verified lines keep one line: the one in the document with the smallest doc_id,
 and in it the first.
 
-In a bucket of equal bands every line meets one hub, the bucket's most central line.
-Lines that are not near the hub then choose a hub among themselves, and so on until a
-round adds less than a thousandth of the links so far; from the second round on, a
-pair needs two equal bands. The pairs of a round are never more than the bucket
-entries, so a large group of near copies is not paired in full.
+Two rounds find the links between lines:
+
+1. In a bucket of equal bands every line meets one hub, the bucket's most central line.
+   That is linear in the entries and joins a group of near copies through its origin.
+2. Where a bucket still holds lines of different components, all pairs across
+   components are compared, whoever the hub was. Links inside a component cannot
+   change it, so no candidate is lost for the components.
+
+In the second round a pair is verified only if its sketches allow the threshold. A
+sketch has one parity bit per hash cell; two sets that differ in d shingles differ in
+no more than d bits, so a pair that the sketches rule out is below the threshold.
+Buckets with very many lines are split over tasks.
 
 * blank lines and lines shorter than a shingle stay as they are.
 * null or empty text: no lines, nothing removed.
@@ -34,10 +41,10 @@ from fareflow.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS = 12
-#: The search ends with a round that adds no more than this share of the links so far.
-FEW = 0.001
-#: Equal bands that a pair needs after the first round.
-TWO = 2
+#: 64-bit words of a line's sketch.
+CELLS = 8
+#: Lines of a bucket that one task compares with the others of it.
+SPLIT = 1000
 NO_ID = 2**63 - 1
 
 
@@ -101,22 +108,48 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
     return lists.filter(100 * both >= percent * either).select("a", "b")
 
 
+def sketches(lines: DataFrame) -> DataFrame:
+    """``lid, size, bits``: how many different shingles a line has, and their parity in ``CELLS`` x 64 cells."""
+    raw = lines.select("lid", F.col("line").cast("binary").alias("raw"))
+    each = raw.select("lid", "raw", F.explode(F.sequence(F.lit(1), F.length("raw") - (SHINGLE - 1))).alias("p"))
+    hashed = each.select("lid", shingle().alias("h")).distinct()
+    bit = F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 AS int))")
+    return hashed.groupBy("lid").agg(F.count(F.lit(1)).alias("size"), *[
+        F.coalesce(F.bit_xor(F.when(F.pmod("h", F.lit(CELLS)) == i, bit)), F.lit(0)).alias(f"bits{i}") for i in range(CELLS)])
+
+
+def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of one bucket but of different components whose sketches allow the threshold."""
+    placed = stored(buckets.join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid")), "placed")
+    mixed = (placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count(F.lit(1)).alias("n")).filter("x < y")
+             .select("key", F.floor(1 + F.col("n") / SPLIT).cast("int").alias("salts")))
+    # A bucket's hub has met all its lines.
+    held = stored(placed.filter("lid <> hub").join(mixed, "key").select("key", "salts", "lid", "root"), "mixed")
+    sketch = sketches(lines.join(held.select("lid").distinct(), "lid", "left_semi"))
+    held = stored(held.join(sketch, "lid"), "held")
+    mine = ["lid", "root", "size", *[f"bits{i}" for i in range(CELLS)]]
+    left = held.select("key", F.pmod(F.xxhash64("lid"), F.col("salts")).cast("int").alias("salt"), *[F.col(c).alias(f"l_{c}") for c in mine])
+    right = held.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *mine)
+    both, differ = F.col("l_size") + F.col("size"), F.lit(0)
+    for i in range(CELLS):
+        differ = differ + F.bit_count(F.col(f"l_bits{i}").bitwiseXOR(F.col(f"bits{i}")))
+    # Of sets at the threshold, at most (100 - percent) / (100 + percent) of the shingles are in one of them only.
+    allowed = lambda d: (100 + percent) * d <= (100 - percent) * both
+    return (left.join(right, (left["key"] == right["key"]) & (left["salt"] == right["salt"]) & (F.col("l_root") < F.col("root"))
+                      & allowed(F.abs(F.col("l_size") - F.col("size"))) & allowed(differ))
+            .select(F.greatest("l_lid", "lid").alias("a"), F.least("l_lid", "lid").alias("b")).distinct())
+
+
 def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``node, root`` for lines that are near another one."""
     active = stored(candidates(documents), "lines")
     line_a = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
     line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
-    left, equal, found, known = active.select("lid", F.explode("keys").alias("key")), 1, None, 0
-    while True:
-        buckets = stored(with_hubs(left), "buckets")
-        pairs = (buckets.filter("lid <> hub").groupBy(F.col("lid").alias("a"), F.col("hub").alias("b"))
-                 .agg(F.count(F.lit(1)).alias("equal")).filter(F.col("equal") >= equal).select("a", "b"))
-        more = stored(verified(pairs.join(line_a, "a").join(line_b, "b"), percent), "links")
-        found, n = more if found is None else found.unionByName(more), more.count()
-        if n <= known * FEW:
-            return stored(components(found), "roots")
-        met = more.select(F.col("a").alias("lid"), F.col("b").alias("hub"))
-        left, equal, known = buckets.filter("lid <> hub").join(met, ["lid", "hub"], "left_anti").select("lid", "key"), TWO, known + n
+    buckets = stored(with_hubs(active.select("lid", F.explode("keys").alias("key"))), "buckets")
+    near = lambda pairs: stored(verified(pairs.join(line_a, "a").join(line_b, "b"), percent), "links")
+    first = near(buckets.filter("lid <> hub").select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct())
+    second = near(across(buckets, stored(components(first), "roots"), active, percent))
+    return stored(components(first.unionByName(second)), "roots")
 
 
 def repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
