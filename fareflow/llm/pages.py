@@ -7,11 +7,13 @@ something else, in a heading. A decision tree, grown from the small table
 ``LABELLED``, keeps or drops each block. Kept blocks are joined in page order.
 
 Inside a block, character references are decoded and white space becomes one
-space; a line break tag is white space. Scripts, styles and markup comments
-never become text.
+space; a line break tag is white space. Scripts, styles, markup comments, drawings,
+controls and stand-ins for what is not shown never become text; formulas do.
 
 * null or empty html: an empty text. Broken markup is read leniently: unknown end
-  tags are ignored, elements left open end with their parent.
+  tags are ignored, elements left open end with their parent. A drawing left open
+  ends where a block begins; only text-only elements (scripts and the like) run to
+  their end tag or to the end of the page, as in a browser.
 * null or repeated page_id or url: carried through, one row for each input row.
 * an empty table: no rows. Other columns are ignored.
 """
@@ -29,10 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Element and attribute names of HTML.
-UNREAD = "script style noscript template textarea title svg math iframe object select button option canvas audio video".split()
+RAW = "script style textarea title iframe".split()
+UNREAD = set("noscript template svg object select button option canvas audio video annotation annotation-xml".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong "
-             "sub sup time tt u var wbr".split())
+             "sub sup time tt u var wbr "
+             "math maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub "
+             "msubsup msup mtable mtd mtext mtr munder munderover semantics".split())
+#: Elements that end an open drawing.
+BLOCKS = set("address article aside blockquote body center dd div dl dt footer h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 OTHER_PARTS = set("nav footer aside form dialog menu fieldset".split())
 MAIN_PARTS = {"article", "main"}
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
@@ -42,8 +49,8 @@ HINTS = set("ad ads adbox adsense advert adverts advertisement advertising spons
             "disqus reply replies respond widget login toolbar pagination pager skip copyright disclaimer teaser outbrain taboola".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<unread>" + "|".join(UNREAD) + r")\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+>.*?(?:</(?P=unread)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?][^>]*>|</[^>]*>", re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?][^>]*>|</[^>]*>", re.S)
+RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -166,7 +173,7 @@ def hinted(name: str, attributes: str, in_main: bool) -> bool:
 def blocks_of(page: str) -> tuple[list[Block], bool]:
     """The text blocks of a page, and whether it has an article."""
     found, has_main = [], False
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, is in an article, is something else
+    stack: list[tuple[str, bool, bool, bool]] = []  # open elements: name, is in an article, is something else, is not read
     links = 0
     now = Block()
 
@@ -177,6 +184,8 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         now = Block()
 
     def text(piece: str):
+        if stack and stack[-1][3]:
+            return
         if not piece or piece.isspace():
             if piece:
                 now.parts.append(" ")
@@ -191,16 +200,29 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         now.linked += n if links else 0
 
     at = 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         text(page[at:m.start()])
         at = m.end()
         if not m["name"]:
             continue
         name = m["name"].lower()
+        if name in RAW_END and not m["end"]:
+            # In drawings and formulas such an element can be self-closed.
+            if not (m["rest"].endswith("/") and any(e[0] in ("svg", "math") for e in stack)):
+                over = RAW_END[name].search(page, at)
+                at = over.end() if over else len(page)
+            continue
         if name == "br":
             now.parts.append(" ")
             continue
-        if name not in INLINE:
+        unread = bool(stack) and stack[-1][3]
+        if unread and name in BLOCKS and not m["end"]:
+            drawing = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("svg", "foreignobject") or not stack[i][3]), None)
+            if drawing is not None and stack[drawing][0] == "svg":
+                links -= sum(e[0] == "a" for e in stack[drawing:])
+                del stack[drawing:]
+                unread = bool(stack) and stack[-1][3]
+        if name not in INLINE and name not in UNREAD and not unread:
             close()
         if name in VOID:
             continue
@@ -210,16 +232,16 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
                 links -= sum(e[0] == "a" for e in stack[open_at:])
                 del stack[open_at:]
         elif not m["rest"].endswith("/"):
-            if name not in INLINE and stack and stack[-1][0] in INLINE:
+            if name not in INLINE and name not in UNREAD and not unread and stack and stack[-1][0] in INLINE:
                 # Inline elements left open end where a block begins.
                 while stack and stack[-1][0] in INLINE:
                     links -= stack.pop()[0] == "a"
-            if name == "p" and stack and stack[-1][0] == "p":
+            if name in ("p", "option") and stack and stack[-1][0] == name:
                 stack.pop()
-            inside, other = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            if name in MAIN_PARTS:
+            inside, other, unread = stack[-1][1:] if stack else (False, False, False)
+            if name in MAIN_PARTS and not unread:
                 inside = has_main = True
-            stack.append((name, inside, other or hinted(name, m["rest"], inside)))
+            stack.append((name, inside, other or hinted(name, m["rest"], inside), unread or name in UNREAD))
             links += name == "a"
     text(page[at:])
     close()
