@@ -39,14 +39,42 @@ def small_clusters(r):
     return [template, *variants, *[v[:-1] + "!" for v in variants]]
 
 
-@pytest.mark.parametrize("make", [small_clusters])
+def chains(r):
+    """Eight chains of five lines with a common middle: only neighbours in a chain are near."""
+    out = []
+    for _ in range(8):
+        text = list(letters(r, 200))
+        for step in range(5):
+            out.append("".join(text))
+            for at in (20 + 36 * step, 32 + 36 * step):
+                text[at] = "?"
+    return out
+
+
+@pytest.mark.parametrize("make", [small_clusters, chains])
 def test_large_buckets_like_brute_force(spark, make):
     texts = make(random.Random(5))
     rows = list(enumerate(texts))
     want = removed_by_brute_force(rows)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {x.doc_id for x in lines.line_report(docs).collect() if x.n_removed} == want
-    assert len(want) == {small_clusters: 200}[make]
+    assert len(want) == {small_clusters: 200, chains: 32}[make]
+
+
+def test_chain_through_a_line_that_left_the_bucket(spark):
+    """B is near A but not near the hub H, which A is near: H, A and B are one group, also when many lines share their buckets."""
+    r = random.Random(8)
+    head = letters(r, 120)
+    texts = [head]
+    for _ in range(30):
+        body = letters(r, 60)
+        h = head + body
+        a = h[:150] + "".join("%" if i % 7 == 0 else c for i, c in enumerate(h[150:]))
+        b = "&" * 14 + a[14:]
+        texts += [h, a, b]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {x.doc_id for x in lines.line_report(docs).collect() if x.n_removed} == removed_by_brute_force(rows)
 
 
 def test_sketches_never_rule_out_a_near_pair(spark):
