@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from fareflow.llm.common import stored
 
-SAMPLES = 32
+SAMPLES = 128
 #: Samples drawn side by side in one aggregate; small enough for compiled code.
 SIDE_BY_SIDE = 8
 #: A task gets about this much text.
