@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontam, fingerprints, lines, mixing, ngrams, pages, quality, setjoin, substrings, warc
+from fareflow.llm import (decontam, fingerprints, lines, merkle, mixing, ngrams, pages, quality, setjoin, substrings,
+                          warc, whitening)
 from fareflow.llm.common import table
 from fareflow.session import prepare
 
@@ -125,3 +126,37 @@ FROM t LEFT JOIN d USING (doc_id)""")
 def op8_backoff(spark, sf_dir):
     scores = ngrams.score(table(spark, sf_dir, "documents"))
     return scores.select("doc_id", "n_words", "n_backoff", F.round("log_score", 4).alias("log_score"))
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("""
+WITH RECURSIVE d AS (SELECT doc_id, lang, '' || coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') AS a, n_chars AS n, coalesce(strlen(text) || ':' || text, '-') AS z,
+      list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '0'), ''),
+        lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS crc FROM documents),
+t AS (SELECT *, n + (doc_id IS NOT NULL AND xor(crc, 4294967295) % 7 = 0)::INT AS m FROM d),
+h AS (SELECT doc_id, lang, sha256(a || coalesce(strlen(n::VARCHAR) || ':' || n, '-') || z) AS leaf,
+        sha256(a || coalesce(strlen(m::VARCHAR) || ':' || m, '-') || z) AS found FROM t),
+f AS (SELECT *, row_number() OVER () AS k, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM h),
+up AS (SELECT lang, 0 AS v, list(leaf ORDER BY p) AS l FROM f GROUP BY lang UNION ALL
+  SELECT lang, v + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) FROM up WHERE len(l) > 1),
+sub AS (SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS q FROM up WHERE len(l) = 1),
+top AS (SELECT 0 AS v, list(subroot ORDER BY q) AS l FROM sub UNION ALL
+  SELECT v + 1, list_transform(range(0, (len(l) + 1) // 2), lambda i: sha256(l[2 * i + 1] || coalesce(l[2 * i + 2], ''))) FROM top WHERE len(l) > 1),
+s AS (SELECT k, v, p >> v AS i, l FROM f JOIN up ON f.lang IS NOT DISTINCT FROM up.lang AND len(l) > 1 UNION ALL
+  SELECT k, 100 + v, q >> v, l FROM f JOIN sub ON f.lang IS NOT DISTINCT FROM sub.lang JOIN top ON len(l) > 1),
+w AS (SELECT k, v, i & 1 AS side, l[xor(i, 1) + 1] AS o FROM s),
+c AS (SELECT k, list(CASE WHEN o IS NULL THEN '-' WHEN side = 1 THEN 'L' || o ELSE 'R' || o END ORDER BY v) AS way, coalesce(string_agg(o, '' ORDER BY v), '') AS o
+  FROM w GROUP BY k),
+e AS (SELECT doc_id, leaf, subroot, (SELECT l[1] FROM top WHERE len(l) = 1) AS root, sha256(coalesce(o, '')) AS proof_sha256,
+    list_reduce(list_prepend(found, coalesce(way, [])), lambda x, y: CASE WHEN y = '-' THEN sha256(x) WHEN y[1] = 'L' THEN sha256(y[2:] || x)
+      ELSE sha256(x || y[2:]) END) AS folded_root
+  FROM f JOIN sub ON f.lang IS NOT DISTINCT FROM sub.lang LEFT JOIN c USING (k))
+SELECT *, folded_root = root AS verified FROM e""")
+def op13_merkle(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
