@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import (decontam, fingerprints, lines, merkle, mixing, ngrams, pages, quality, setjoin, substrings,
+from fareflow.llm import (decontam, fingerprints, licenses, lines, merkle, mixing, ngrams, pages, quality, setjoin, substrings,
                           warc, whitening)
 from fareflow.llm.common import table
 from fareflow.session import prepare
@@ -133,6 +133,11 @@ def op11_whitening(spark, sf_dir):
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
 
+@query(licenses.oracle())
+def op12_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 @query("""
 WITH RECURSIVE d AS (SELECT doc_id, lang, '' || coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
         || coalesce(strlen(lang) || ':' || lang, '-') AS a, n_chars AS n, coalesce(strlen(text) || ':' || text, '-') AS z,
