@@ -4,11 +4,14 @@
 ``linear``       interpolation between the two nearest positions
 ``approximate``  Spark's mergeable sketch
 
-The exact kinds never bring a whole group into one task. Rows first shrink to
-(group, value, count). A value's bin is a fixed, monotone function of the value
-alone, narrow in proportion to its size; only bin totals are ordered per group,
-and only the bins that hold a wanted position are sorted, each in its own task.
-Nothing depends on the order in which rows or shuffle blocks arrive.
+The exact kinds never bring a whole group into one task. Every double has a 64-bit
+image in the same order. Rows are counted per group and leading bits of the image,
+straight from the input, so a task gives out one row per bin; only the bins that hold
+a wanted position are followed, their rows counted by the next bits, and so on, until
+no such bin has more than ``leaf`` rows or all 64 bits are used up, where a bin is one
+value. What is left is sorted bin by bin. Rows outside the bins in question leave
+before any shuffle as long as these bins are few enough to broadcast, which is
+counted. Nothing depends on the order in which rows or shuffle blocks arrive.
 """
 
 from __future__ import annotations
@@ -16,7 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareflow.session import written
+
 BINS = 1024
+#: Bins per level of the radix search, and rows of a bin that one task may sort.
+RADIX = 1 << 16
+LEAF = 200_000
+#: Bins in question that may be broadcast.
+FEW = 50_000
 
 
 def cut_points(value: str, bins: int) -> Column:
@@ -33,48 +43,73 @@ def bin_of(value: str, cuts: str, bins: int) -> Column:
         F.get(F.col(cuts), at + jump - 1) < F.col(value), at + jump).otherwise(at))
 
 
-def fixed_bin(value: Column, bins: int = BINS) -> Column:
-    """A bin number that never falls as the value grows: about 1/``bins`` of the value
-    wide beyond 1. NaN comes last, as in Spark's order."""
-    size = F.least(F.abs(value), F.lit(1.7e308))
-    step = F.floor(F.log(size + 1) * bins).cast("bigint")
-    end = 1000 * bins  # above every finite bin
-    return (F.when(F.isnan(value), end + 1).when(value == float("inf"), end).when(value == float("-inf"), -end)
-            .when(value < 0, -step).otherwise(step))
+def ordered_image(value: Column) -> Column:
+    """A bigint that is larger exactly where the double is larger; NaN comes last, as in
+    Spark's order, and both zeros are 0. It is the double's exponent and mantissa,
+    negated for negative values, worked out with exact steps only."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("int")
+    exponent = F.when(size < F.pow(F.lit(2.0), guess), guess - 1).when(
+        size >= F.pow(F.lit(2.0), guess + 1), guess + 1).otherwise(guess)
+    mantissa = (size / F.pow(F.lit(2.0), exponent) - 1) * float(1 << 52)
+    normal = (exponent + 1023).cast("bigint") * (1 << 52) + mantissa.cast("bigint")
+    tiny = (size * 2.0**537 * 2.0**537).cast("bigint")
+    image = (F.when(F.isnan(value), 0x7FF8 << 48).when(size == float("inf"), 0x7FF0 << 48)
+             .when(size < 2.0**-1022, tiny).otherwise(normal))
+    return F.when(value < 0, -image).otherwise(image)
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float],
-                    method: str = "linear", bins: int = BINS) -> DataFrame:
+                    method: str = "linear", bins: int = RADIX, leaf: int = LEAF, refine: bool = True) -> DataFrame:
     """One row per key with a column for every entry of ``points`` (name -> 0..1).
 
-    Null values are ignored; a group without values yields no row.
+    Null values are ignored; a group without values yields no row. The search runs when
+    the function is called. With ``refine=False`` everything is one plan of a single
+    level: for inputs that are small in themselves, such as one row per zone.
     """
     if method not in ("linear", "nearest"):
         raise ValueError(f"unknown method {method!r}")
     # The keys as one struct: null keys then compare as equal in plain joins.
-    group = "__group"
-    hist = (df.select(F.struct(*keys).alias(group), F.col(value).cast("double").alias("__v"))
-            .filter(F.col("__v").isNotNull())
-            .groupBy(group, "__v").agg(F.count("*").alias("__n"))
-            .withColumn("__bin", fixed_bin(F.col("__v"), bins)))
-
-    total = F.col("__total")
-    wanted = F.array_distinct(F.concat(*[F.array(*_positions(total, p, method)) for p in points.values()]))
-    all_bins = Window.partitionBy(group)
-    before_bin = all_bins.orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
-    hit_bins = (hist.groupBy(group, "__bin").agg(F.sum("__n").alias("__size"))
-                .withColumn("__total", F.sum("__size").over(all_bins))
-                .withColumn("__start", F.coalesce(F.sum("__size").over(before_bin), F.lit(0)))
-                .withColumn("__wanted", F.filter(wanted, lambda pos: (pos >= F.col("__start"))
-                                                 & (pos < F.col("__start") + F.col("__size"))))
-                .filter(F.size("__wanted") > 0)
-                .select(group, "__bin", "__start", "__wanted", "__total"))
-
-    in_bin = Window.partitionBy(group, "__bin").orderBy("__v")
-    ranked = (hist.join(hit_bins, [group, "__bin"])
-              .withColumn("__last", F.col("__start") + F.sum("__n").over(in_bin) - 1)
-              .withColumn("__first", F.col("__last") - F.col("__n") + 1)
-              .filter(F.exists("__wanted", lambda pos: pos.between(F.col("__first"), F.col("__last")))))
+    group, total = "__group", F.col("__total")
+    rows = (df.select(F.struct(*keys).alias(group), (F.col(value).cast("double") + 0.0).alias("__v"))
+            .filter(F.col("__v").isNotNull()).withColumn("__i", ordered_image(F.col("__v"))))
+    asked = F.array_distinct(F.concat(*[F.array(*_positions(total, p, method)) for p in points.values()]))
+    width, shift = max(1, (bins - 1).bit_length()), 64
+    live, parent = rows, [group]
+    while True:
+        step = min(width, shift)
+        shift -= step
+        carried = [] if parent == [group] else [F.max("__start").alias("__from"), F.max("__total").alias("__total")]
+        counts = live.groupBy(*parent, F.shiftright("__i", shift).alias("__digit")).agg(
+            F.count("*").alias("__size"), F.max("__v").alias("__top"), *carried)
+        beside = Window.partitionBy(*parent)
+        below = beside.orderBy("__digit").rowsBetween(Window.unboundedPreceding, -1)
+        if not carried:
+            counts = counts.withColumns({"__from": F.lit(0), "__total": F.sum("__size").over(beside)})
+        start = F.col("__from") + F.coalesce(F.sum("__size").over(below), F.lit(0))
+        hits = counts.withColumn("__start", start).withColumn("__wanted", F.filter(asked, lambda pos: (
+            pos >= F.col("__start")) & (pos < F.col("__start") + F.col("__size")))).filter(F.size("__wanted") > 0).select(
+            group, F.col("__digit").alias("__bin"), "__start", "__size", "__top", "__wanted", "__total")
+        if refine:
+            hits = written(hits, "quantile-bins")
+            largest, n = hits.agg(F.max("__size"), F.count("*")).first()
+            if n <= FEW:
+                hits = F.broadcast(hits)
+        in_bins = rows.withColumn("__bin", F.shiftright("__i", shift)).join(hits, [group, "__bin"])
+        if not refine or shift == 0 or (largest or 0) <= leaf:
+            break
+        live, parent = in_bins, [group, "__bin"]
+
+    if shift == 0:
+        ranked = hits.select("*", F.col("__top").alias("__v"), F.col("__start").alias("__first"),
+                             (F.col("__start") + F.col("__size") - 1).alias("__last"))
+    else:
+        in_bin = Window.partitionBy(group, "__bin").orderBy("__v")
+        ranked = (in_bins.groupBy(group, "__bin", "__v").agg(
+            F.count("*").alias("__n"), *[F.any_value(c).alias(c) for c in ("__start", "__wanted", "__total")])
+            .withColumn("__last", F.col("__start") + F.sum("__n").over(in_bin) - 1)
+            .withColumn("__first", F.col("__last") - F.col("__n") + 1)
+            .filter(F.exists("__wanted", lambda pos: pos.between(F.col("__first"), F.col("__last")))))
 
     picks = []
     for i, p in enumerate(points.values()):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on; all can be changed on a live session.
 RUNTIME_CONF = {
@@ -53,3 +53,11 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         parent = tempfile.mkdtemp(prefix="fareflow-")
         spark.conf.set("spark.checkpoint.dir", parent)
     return f"{parent.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows of ``df`` written once to the shared folder and read from there: what came
+    before is not computed again, neither for later steps nor for a lost executor."""
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

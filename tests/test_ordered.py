@@ -43,6 +43,43 @@ def test_exact_quantiles(spark, skewed, bins):
             assert nearest[key][name] == values[min(int(len(values) * p), len(values) - 1)]
 
 
+def test_image_keeps_order(spark):
+    """Also for powers of two and their neighbours, where a logarithm is off."""
+    powers = [2.0**e for e in range(-1074, 1024)]
+    values = powers + [np.nextafter(x, np.inf) for x in powers] + [np.nextafter(x, 0) for x in powers] + [0.1, 3.3e-310, 1e17]
+    values += [-v for v in values] + [0.0, -0.0, float("inf"), float("-inf")]
+    got = {r.v: r.i for r in frame(spark, pd.DataFrame({"v": values}), "v double").select(
+        "v", quantiles.ordered_image(F.col("v")).alias("i")).collect()}
+    bits = lambda v: int(np.float64(abs(v)).view(np.int64)) * (-1 if v < 0 else 1)
+    assert all(i == bits(v) for v, i in got.items())
+
+
+@pytest.mark.parametrize("bins", [256, 1 << 16])
+def test_narrow_and_repeated_values(spark, bins):
+    """Bins that hold too many rows are split down to single values, which need no sort."""
+    rng = random.Random(3)
+    values = [rng.uniform(0, 5e-4) for _ in range(3000)] + [1000 + rng.random() * 1e-9 for _ in range(3000)] + [7.25] * 3000
+    df = frame(spark, pd.DataFrame({"k": ["a"] * 9000 + ["b"] * 4, "v": values + [1.0, 2.0, 3.0, None]}), "k string, v double")
+    got = {r.k: r for r in quantiles.exact_quantiles(df, ["k"], "v", POINTS, bins=bins, leaf=20).collect()}
+    for name, p in POINTS.items():
+        assert got["a"][name] == pytest.approx(np.quantile(values, p), rel=1e-13)
+        assert got["b"][name] == pytest.approx(np.quantile([1, 2, 3], p))
+
+
+def test_rows_outside_bins_are_not_shuffled(spark):
+    df = spark.range(20000).select((F.col("id") % 3).alias("k"), (F.col("id") * 1.0).alias("v"))
+    plan = quantiles.exact_quantiles(df, ["k"], "v", {"p": 0.5}, leaf=500)._jdf.queryExecution().toString()
+    first = plan[plan.index("== Physical Plan"):].split("Range (")[0]
+    assert first.count("Exchange") - first.count("BroadcastExchange") <= 3 and "SortMergeJoin" not in first
+    assert "BroadcastHashJoin" in first.split("Exchange hashpartitioning")[-1]
+
+
+def test_one_plan_for_small_inputs(spark, skewed):
+    df = frame(spark, skewed, "key string, value double, n long")
+    runs = [sorted(map(str, quantiles.exact_quantiles(df, ["key"], "value", POINTS, refine=r).collect())) for r in (True, False)]
+    assert runs[0] == runs[1]
+
+
 def test_three_percentiles_differ(spark):
     df = spark.createDataFrame([(1, float(v)) for v in (1, 2, 3, 4, 10)], "k int, v double")
     assert quantiles.exact_quantiles(df, ["k"], "v", {"p": 0.95}, "nearest").first().p == 10
