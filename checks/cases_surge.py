@@ -276,6 +276,40 @@ def driver_status_stream(spark, sf):
         "driver_id", "status")
 
 
+def newest_first(spark, base, out, parts=3):
+    """The rows written as ``parts`` files, the newest rows in the first one, to be streamed
+    file by file: all batches after the first are late."""
+    day = F.dayofmonth("ts")
+    for i in reversed(range(parts)):
+        share = base.filter(F.least(F.floor((day - 1) * parts / F.lit(30)), F.lit(parts - 1)) == i)
+        share.coalesce(1).write.mode("append").parquet(out)
+    return spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(out)
+
+
+@case(STATUS_SQL)
+def driver_status_late(spark, sf):
+    """The driver table fed newest days first, compacted on the way: the latest event still wins."""
+    out = shared_dir(spark, "driver-late")
+    late = newest_first(spark, p.ev(spark, sf), f"{out}/in")
+    flows.driver_status_table(p.pings_of(late), f"{out}/table", f"{out}/checkpoint", compact_every=2).awaitTermination()
+    return flows.driver_statuses(spark, f"{out}/table").select("driver_id", "city_id", "zone_id", "status", text("kafka_ts"))
+
+
+@case("""SELECT zone_id, strftime(window_start, '%Y-%m-%dT%H:%M:%SZ') || '_' || zone_id AS timestamp, city_id,
+  on_trip_count AS waiting_riders FROM zw WHERE window_start >= TIMESTAMP '2024-01-11'""")
+def hot_store_levels(spark, sf):
+    """The hot table written in overlapping weeks and compacted after every other batch, with expiry of the first ten days."""
+    root = shared_dir(spark, "hot-levels")
+    zones = surge.with_latency(surge.with_surge(hourly(spark, sf)), F.expr(LATE))
+    records = surge.surge_records(zones, HOUR, "5K", F.lit(0), F.expr(LATE))
+    keys, keep = ["zone_id", "timestamp", "city_id"], F.col("window_start") >= F.expr("timestamp'2024-01-11'")
+    for n, first in enumerate(range(1, 31, 6)):
+        keyed.upsert(records.filter(F.dayofmonth("window_start").between(first, first + 6)), root, n)
+        if n % 2:
+            keyed.compact(spark, root, keys, upto=n, keep=keep)
+    return keyed.read_current(spark, root, keys).filter(keep).select("zone_id", "timestamp", "city_id", "waiting_riders")
+
+
 @case("SELECT event_id, 'Z_' || upper(substr(md5(format('{:.1f}_{:.1f}', CAST(floor(lat / 0.5) AS BIGINT) * 0.5, "
       "CAST(floor(lng / 0.5) AS BIGINT) * 0.5)), 1, 6)) AS zone FROM pings")
 def derive_zones(spark, sf):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,17 +35,22 @@ def archive_events(decoded: DataFrame, path: str, checkpoint: str, **trigger) ->
     return to_parquet(dated, path, checkpoint, ("city_id", "date"), **trigger)
 
 
-def split_faults(envelope: DataFrame, accepted_path: str, dead_path: str, checkpoint: str, **trigger
-                 ) -> StreamingQuery:
-    """Good events to one table and dead letters to another, decoding once."""
+def split_faults(envelope: DataFrame, accepted_path: str, dead_path: str, checkpoint: str,
+                 compact_every: int = 500, keep_hours: int | None = None, **trigger) -> StreamingQuery:
+    """Good events to one table and dead letters to another, decoding once. Both are tables
+    without keys: every row stays, until it is ``keep_hours`` old if that is given."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         decoded = events.decode_with_faults(batch).persist()
         try:
             keyed.upsert(events.accepted_events(decoded), accepted_path, batch_id)
             keyed.upsert(events.dead_letters(decoded), dead_path, batch_id)
         finally:
             decoded.unpersist()
+        keep = None if keep_hours is None else F.col("kafka_ts") >= F.lit(datetime.now(timezone.utc) - timedelta(hours=keep_hours))
+        for path in (accepted_path, dead_path):
+            keyed.maintain(spark, path, [], batch_id, compact_every, keep)
 
     return (envelope.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
             .trigger(**(trigger or {"availableNow": True})).start())
@@ -54,11 +61,27 @@ def alert_stream(changes: DataFrame) -> DataFrame:
     return alerts.alert_message(alerts.surge_alerts(alerts.read_changes(alerts.feed(changes))))
 
 
-def driver_status_table(decoded: DataFrame, root: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the newest status per driver up to date."""
+# The newest event wins, not the newest batch: late events must not undo a newer status.
+STATUS_KEYS, STATUS_ORDER = ["driver_id"], ("kafka_ts",)
+
+
+def driver_status_table(decoded: DataFrame, root: str, checkpoint: str, compact_every: int = 500,
+                        life_seconds: int | None = None, **trigger) -> StreamingQuery:
+    """Keep the newest status per driver up to date. With ``life_seconds``, statuses older than
+    that leave the table when it is compacted."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         keyed.upsert(events.last_driver_status(batch), root, batch_id)
+        keep = None if life_seconds is None else F.col("kafka_ts") >= F.lit(datetime.now(timezone.utc) - timedelta(seconds=life_seconds))
+        keyed.maintain(batch.sparkSession, root, STATUS_KEYS, batch_id, compact_every, keep, STATUS_ORDER)
 
     return (decoded.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
             .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def driver_statuses(spark: SparkSession, root: str, now: Column | None = None, life_seconds: int = 300,
+                    drivers: DataFrame | None = None) -> DataFrame:
+    """The table's current rows: with ``now`` those still alive, with ``drivers`` those of these
+    drivers, read from their buckets alone."""
+    table = keyed.read_current(spark, root, STATUS_KEYS, order=STATUS_ORDER, only=drivers)
+    return table if now is None else events.unexpired(table, "kafka_ts", life_seconds, now)

@@ -24,8 +24,8 @@ RECORD_KEYS = ["zone_id", "city_id", "timestamp"]
 class SurgeJob:
     """Where and how the stream writes. Keyed tables live under ``root``:
     ``windows`` (every zone window), ``surge_pricing`` (the busiest window of
-    each zone and batch), ``kpis`` and ``lineage`` (start and end of every batch,
-    failed ones too). Every ``compact_every`` batches the first two are compacted;
+    each zone and batch), ``kpis`` and ``lineage`` (start and end of every attempt
+    at a batch, failed ones too). Every ``compact_every`` batches all are compacted;
     rows older than ``keep_hours`` expire then."""
 
     root: str
@@ -50,35 +50,38 @@ def zone_windows(events: DataFrame, job: SurgeJob) -> DataFrame:
 
 def write_batch(job: SurgeJob):
     """The per-batch callback. Everything stays a DataFrame; each table is keyed,
-    so a batch that runs again after a failure leaves the same content. The
-    tables are written side by side from the cached batch."""
+    so a batch that runs again after a failure leaves the same content. The batch is
+    counted in the job that caches it; its tables and the start of its lineage are then
+    written side by side."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        started = F.lit(datetime.now(timezone.utc))
+        spark, begun = batch.sparkSession, datetime.now(timezone.utc)
+        started = F.lit(begun)
         zones = surge.with_latency(surge.with_surge(batch), started).persist()
-        begun = datetime.now(timezone.utc)
+        note = None
         try:
-            if zones.isEmpty():
-                return
-            busiest = surge.dedupe_zone(zones)
-            tables = {
-                "windows": zones.hint("rebalance"),
-                "surge_pricing": surge.surge_records(busiest, job.window_seconds, job.scale_level,
-                                                     F.lit(batch_id), started)}
-            if job.with_kpis:
-                kpis = surge.batch_kpis(busiest.withColumn("batch_id", F.lit(batch_id)), job.window_seconds)
-                tables["kpis"] = kpis.select(F.lit(batch_id).alias("batch"), started.alias("computed_at"),
-                                             F.lit(job.scale_level).alias("scale_level"), "*")
-            put = inheritable_thread_target(zones.sparkSession)(
-                lambda name: keyed.upsert(tables[name], f"{job.root}/{name}", batch_id))
-            with ThreadPoolExecutor(len(tables)) as pool:
-                list(pool.map(put, tables))
+            note = _Notes(spark, job, batch_id, begun)
             count = zones.agg(F.sum("total_events")).first()[0]
-            _note(zones.sparkSession, job, batch_id, begun, count, None)
-            if batch_id and batch_id % job.compact_every == 0:
-                tidy(zones.sparkSession, job, batch_id)
+            if count is not None:
+                busiest = surge.dedupe_zone(zones)
+                tables = {
+                    "windows": zones.hint("rebalance"),
+                    "surge_pricing": surge.surge_records(busiest, job.window_seconds, job.scale_level,
+                                                         F.lit(batch_id), started)}
+                if job.with_kpis:
+                    kpis = surge.batch_kpis(busiest.withColumn("batch_id", F.lit(batch_id)), job.window_seconds)
+                    tables["kpis"] = kpis.select(F.lit(batch_id).alias("batch"), started.alias("computed_at"),
+                                                 F.lit(job.scale_level).alias("scale_level"), "*")
+                writes = [lambda name=name: keyed.upsert(tables[name], f"{job.root}/{name}", batch_id) for name in tables]
+                writes.append(lambda: note.start(count))
+                with ThreadPoolExecutor(len(writes)) as pool:
+                    list(pool.map(inheritable_thread_target(spark)(lambda put: put()), writes))
+                note.end(None)
+            tidy(spark, job, batch_id)
         except Exception as error:
-            _note(zones.sparkSession, job, batch_id, begun, None, str(error))
+            if note is not None:
+                note.start(None)
+                note.end(str(error))
             raise
         finally:
             zones.unpersist()
@@ -108,26 +111,54 @@ def surge_table(spark, job: SurgeJob) -> DataFrame:
     return keyed.read_current(spark, f"{job.root}/surge_pricing", RECORD_KEYS)
 
 
-def _note(spark: SparkSession, job: SurgeJob, batch_id: int, begun: datetime, count: int | None, error: str | None) -> None:
-    """Start and end of a batch as lineage events; a batch that runs again replaces its own."""
-    key, ended = f"{job.checkpoint}/{batch_id}", datetime.now(timezone.utc)
-    rows = [(key, "start", "streaming", job.source, None, count, 2, None, None, begun),
-            (key, "end", "streaming", None, "surge_pricing", None, None, "failed" if error else "success", error, ended)]
-    keyed.upsert(spark.createDataFrame(rows, schemas.LINEAGE_EVENT).withColumnRenamed(keyed.VERSION, "batch").coalesce(1),
-                 f"{job.root}/lineage", batch_id)
+#: Folder numbers that a batch takes in the lineage table: two per attempt.
+PER_BATCH = 10_000
+
+
+class _Notes:
+    """Lineage events of one attempt at a batch. An attempt leaves a marker when it begins, so
+    that the next one, also of another process, gets its own number; the first attempt's id
+    is the batch's, later ones add ``#2`` and so on."""
+
+    def __init__(self, spark: SparkSession, job: SurgeJob, batch_id: int, begun: datetime) -> None:
+        self.spark, self.job, self.batch_id, self.begun, self.table = spark, job, batch_id, begun, f"{job.root}/lineage"
+        self.attempt = None
+
+    def _number(self) -> int:
+        if self.attempt is None:
+            marks = f"{self.table}/attempts"
+            fs, here = keyed.hadoop_path(self.spark, f"{marks}/{self.batch_id}")
+            self.attempt = 1 + (len(fs.listStatus(here)) if fs.exists(here) else 0)
+            fs.mkdirs(keyed.hadoop_path(self.spark, f"{marks}/{self.batch_id}/{self.attempt}")[1])
+            fs.delete(keyed.hadoop_path(self.spark, f"{marks}/{self.batch_id - 1}")[1], True)
+        return self.attempt
+
+    def _put(self, kind: str, source, sink, count, version, status, error, at: datetime) -> None:
+        n = self._number()
+        key = f"{self.job.checkpoint}/{self.batch_id}" + (f"#{n}" if n > 1 else "")
+        row = (key, kind, "streaming", source, sink, count, version, status, error, at)
+        keyed.upsert(self.spark.createDataFrame([row], schemas.LINEAGE_EVENT).withColumnRenamed(keyed.VERSION, "batch").coalesce(1),
+                     self.table, self.batch_id * PER_BATCH + 2 * min(n, PER_BATCH // 2 - 1) + (kind == "end"))
+
+    def start(self, count: int | None) -> None:
+        self._put("start", self.job.source, None, count, 2, None, None, self.begun)
+
+    def end(self, error: str | None) -> None:
+        self._put("end", None, "surge_pricing", None, None, "failed" if error else "success", error, datetime.now(timezone.utc))
 
 
 def tidy(spark: SparkSession, job: SurgeJob, batch_id: int) -> None:
-    """Compact the tables as of a batch, drop what expired, remove files no reader needs."""
+    """Compaction and expiry of all tables, when it is their turn."""
     oldest = F.lit(datetime.now(timezone.utc) - timedelta(hours=job.keep_hours))
-    for name, keys, time in (("windows", WINDOW_KEYS, "window_end"), ("surge_pricing", RECORD_KEYS, "computed_at")):
-        keyed.compact(spark, f"{job.root}/{name}", keys, batch_id, keep=F.col(time) >= oldest)
-        keyed.prune(spark, f"{job.root}/{name}", keep_batches=job.compact_every)
+    for name, keys, time in (("windows", WINDOW_KEYS, "window_end"), ("surge_pricing", RECORD_KEYS, "computed_at"),
+                             ("kpis", ["batch"], "computed_at")):
+        keyed.maintain(spark, f"{job.root}/{name}", keys, batch_id, job.compact_every, F.col(time) >= oldest)
+    keyed.maintain(spark, f"{job.root}/lineage", [], batch_id, job.compact_every, F.col("at") >= oldest, stride=PER_BATCH)
 
 
 def lineage_events(spark: SparkSession, job: SurgeJob) -> DataFrame:
-    """Lineage events of all batches so far."""
-    return keyed.read_current(spark, f"{job.root}/lineage", ["batch", "kind"]).drop(keyed.VERSION).withColumnRenamed("batch", keyed.VERSION)
+    """Lineage events of all attempts so far."""
+    return keyed.read_current(spark, f"{job.root}/lineage", []).drop(keyed.VERSION).withColumnRenamed("batch", keyed.VERSION)
 
 
 class LateRows(StreamingQueryListener):

@@ -95,6 +95,72 @@ def test_keyed_table(spark, tmp_path):
     assert state() == {"b": 2, "c": 9, "d": 1}
 
 
+def test_small_batches_rewrite_little(spark, tmp_path):
+    """100 keys on a table of a million: under 5 % is written, and every state is right."""
+    root, n = str(tmp_path / "big"), 1_000_000
+    keyed.upsert(spark.range(n).select("id", F.lit(0).alias("v")), root, 0)
+    assert keyed.compact(spark, root, ["id"], upto=0).rows_written == n
+    for batch in range(1, 4):
+        keys = spark.range(100).select((F.col("id") * 7919 * batch % n).alias("id"), F.lit(batch).alias("v"))
+        keyed.upsert(keys, root, batch)
+        done = keyed.compact(spark, root, ["id"], upto=batch)
+        assert done.rows >= n and done.rows_written < 0.05 * n
+    state = keyed.read_current(spark, root, ["id"])
+    assert state.count() == n
+    want = {}
+    for batch in range(1, 4):
+        want |= {i * 7919 * batch % n: batch for i in range(100)}
+    assert {r.id: r.v for r in state.filter("v > 0").collect()} == want
+    some = keyed.read_current(spark, root, ["id"], only=spark.createDataFrame([(7919,), (5,)], "id bigint"))
+    assert {r.id: r.v for r in some.collect()} == {7919: want[7919], 5: 0}
+    keyed.prune(spark, root, keep_batches=0)
+    assert keyed.read_current(spark, root, ["id"]).agg(F.sum("v")).first()[0] == sum(want.values())
+
+
+def test_levels_fill_up_and_expire(spark, tmp_path):
+    root, keep = str(tmp_path / "t"), F.col("at") >= 100
+    put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "k int, at int"), root, n)
+    model = {}
+    for batch in range(12):
+        rows = [(k, 90 + batch if k % 3 else 200 + batch) for k in range(batch * 5, batch * 5 + 60)]
+        put(rows, batch)
+        model |= dict(rows)
+        keyed.compact(spark, root, ["k"], upto=batch, keep=keep, buckets=4)
+        now = {r.k: r.at for r in keyed.read_current(spark, root, ["k"]).collect()}
+        assert {k: at for k, at in now.items() if at >= 100} == {k: at for k, at in model.items() if at >= 100}
+        assert all(model[k] == at for k, at in now.items())
+    assert sum(at < 100 for at in now.values()) <= 0.5 * len(now)
+
+
+def test_order_column_beats_batch(spark, tmp_path):
+    root = str(tmp_path / "t")
+    put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "k string, at int, v int"), root, n)
+    state = lambda: {r.k: r.v for r in keyed.read_current(spark, root, ["k"], order=("at",)).collect()}
+    put([("a", 5, 1), ("b", None, 1)], 0)
+    put([("a", 4, 2), ("b", 1, 2)], 1)
+    put([("a", 5, 3)], 2)
+    assert state() == {"a": 3, "b": 2}
+    keyed.compact(spark, root, ["k"], upto=1, order=("at",))
+    assert state() == {"a": 3, "b": 2}
+    put([("b", 0, 4)], 3)
+    keyed.compact(spark, root, ["k"], upto=3, order=("at",))
+    assert state() == {"a": 3, "b": 2}
+
+
+def test_table_without_keys_keeps_all_rows(spark, tmp_path):
+    root = str(tmp_path / "log")
+    put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "v int"), root, n)
+    state = lambda: sorted(r.v for r in keyed.read_current(spark, root, []).collect())
+    put([(1,), (1,)], 0)
+    put([(2,)], 1)
+    keyed.compact(spark, root, [], upto=1)
+    assert state() == [1, 1, 2]
+    put([(3,)], 0)  # batch 0 again, with other rows
+    assert state() == [2, 3]
+    keyed.compact(spark, root, [], upto=1)
+    assert state() == [2, 3]
+
+
 def test_backfill_after_compaction(spark, tmp_path):
     root = str(tmp_path / "days")
     put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "k string, v int"), root, n)

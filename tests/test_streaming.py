@@ -91,13 +91,66 @@ def test_failed_batch_leaves_lineage(spark, tmp_path):
     assert [(r.batch_id, r.status) for r in rows] == [("cp/3", "failed")] and "gone" in rows[0].error
 
 
+def test_every_attempt_leaves_lineage(spark, tmp_path):
+    """A batch that fails, as in another process, and then succeeds: both attempts stay."""
+    job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600, with_kpis=False, compact_every=4)
+    zones = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600)
+    broken = zones.withColumn("zone_id", F.raise_error("gone").cast("string"))
+    surge_stream.write_batch(job)(zones, 3)
+    for _ in range(2):
+        with pytest.raises(Exception, match="gone"):
+            surge_stream.write_batch(job)(broken, 4)
+    surge_stream.write_batch(job)(zones, 4)
+    rows = lambda: sorted((r.batch_id, r.status, r.record_count) for r in lineage.lineage(surge_stream.lineage_events(spark, job)).collect())
+    want = [("cp/3", "success", 1000), ("cp/4", "failed", None), ("cp/4#2", "failed", None), ("cp/4#3", "success", 1000)]
+    assert rows() == want
+    surge_stream.write_batch(job)(zones.limit(0), 8)  # an empty batch whose turn it is compacts too
+    assert rows() == want and not lineage.open_batches(surge_stream.lineage_events(spark, job)).collect()
+    assert os.path.exists(f"{job.root}/lineage/manifests") and os.path.exists(f"{job.root}/windows/manifests")
+
+
+def status_events(spark, rows):
+    """driver, status, second as decoded events."""
+    return spark.createDataFrame([(d, "MUM", "Z", s, f"e{i}", t) for i, (d, s, t) in enumerate(rows)],
+                                 "driver_id string, city_id string, zone_id string, status string, event_id string, t long").withColumn(
+        "kafka_ts", F.timestamp_seconds("t")).drop("t")
+
+
+def test_late_status_does_not_undo_a_newer_one(spark, tmp_path):
+    batches = [[("a", "on_trip", 1005), ("b", "available", 1001)], [("a", "offline", 1000), ("b", "on_trip", 1002)],
+               [("c", "available", 900)], [("a", "available", 1004), ("c", "on_trip", 901)]]
+    for i, rows in enumerate(batches):
+        status_events(spark, rows).coalesce(1).write.parquet(str(tmp_path / f"in/f{i}"))
+        for name in os.listdir(tmp_path / f"in/f{i}"):
+            os.utime(tmp_path / f"in/f{i}/{name}", (time.time() - 100 + i,) * 2)
+    root = str(tmp_path / "t")
+    source = spark.readStream.schema(status_events(spark, [("a", "x", 1)]).schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in/*"))
+    flows.driver_status_table(source, root, str(tmp_path / "cp"), compact_every=2).awaitTermination()
+    state = lambda **kw: {r.driver_id: r.status for r in flows.driver_statuses(spark, root, **kw).collect()}
+    assert state() == {"a": "on_trip", "b": "on_trip", "c": "on_trip"}
+    assert os.path.exists(f"{root}/manifests")
+    assert state(now=F.timestamp_seconds(F.lit(1250)), life_seconds=300) == {"a": "on_trip", "b": "on_trip"}
+    assert state(drivers=spark.createDataFrame([("b",), ("x",)], "driver_id string")) == {"b": "on_trip"}
+
+
+def test_split_tables_are_compacted(spark, tmp_path):
+    p.envelope_of(p.pings(spark, SF)).repartition(7).write.parquet(str(tmp_path / "in"))
+    source = streams.read_events(spark, path=str(tmp_path / "in"), files_per_trigger=1)
+    good, dead = str(tmp_path / "good"), str(tmp_path / "dead")
+    flows.split_faults(source, good, dead, str(tmp_path / "cp"), compact_every=2).awaitTermination()
+    for root in (good, dead):
+        assert len(os.listdir(f"{root}/changes")) <= 4
+    assert sum(keyed.read_current(spark, root, []).count() for root in (good, dead)) == 1000
+
+
 def test_tables_stay_small(spark, tmp_path):
     job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600, with_kpis=False, compact_every=4, keep_hours=10**6)
     zones = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600)
     write = surge_stream.write_batch(job)
     for n in range(1, 14):
         write(zones, n)
-    assert len(os.listdir(f"{job.root}/windows/changes")) <= 2 * job.compact_every
+    for name, per_batch in (("windows", 1), ("surge_pricing", 1), ("lineage", 2)):
+        assert len(os.listdir(f"{job.root}/{name}/changes")) <= 2 * job.compact_every * per_batch
     assert sum(n for _, n in counts(spark, job).values()) == 1000
 
 
