@@ -14,6 +14,7 @@ from fareflow.operators import observability as ob
 from fareflow.operators import quantiles, reports, surge
 from fareflow.session import shared_dir
 from fareflow.sources import files
+from fareflow.streaming import alarms, flows
 
 STAMP = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 SERIES = ["experiment_name", "metric_name"]
@@ -73,16 +74,19 @@ def metric_rollup(spark, sf):
 
 
 def dense_rollup(spark, sf):
+    return ob.metric_rollup(dense_samples(p.samples(spark, sf)))
+
+
+def dense_samples(samples):
     """The samples put eight seconds apart, so minutes follow each other, with a
     throughput outage in every twelfth half hour."""
     at = F.timestamp_seconds(F.lit(1704067200) + F.col("event_id") * 8)
     latency = F.col("metric_name").isin("spark_batch_latency_ms", "gps_events_sent_total")
     gap = F.floor(F.col("event_id") / 225) % 12 == 5
-    rows = p.samples(spark, sf).filter(latency | ~gap).select(
+    return samples.filter(latency | ~gap).select(
         F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("scale"),
         F.when(latency, "AvgLatencyMs").otherwise("KafkaEventsPerSecond").alias("metric_name"),
         at.alias("timestamp"), F.when(latency, F.col("value") * 250).otherwise(F.col("value") / 3).alias("value"))
-    return ob.metric_rollup(rows)
 
 
 ALARM_SQL = """, r AS (SELECT 'S' || CAST(user_id % 3 AS VARCHAR) AS scale,
@@ -130,6 +134,24 @@ def alarm_low_throughput(spark, sf):
     return alarm_out(ob.low_throughput_alarm(dense_rollup(spark, sf)))
 
 
+@case(ALARM_SQL.split(" one AS")[0] + """ e AS (SELECT ((1704067200 + max(event_id) * 8) - 60) // 60 - 1 AS hi FROM samples
+    WHERE metric_name IN ('spark_batch_latency_ms', 'gps_events_sent_total') OR (event_id // 225) % 12 <> 5),
+ spine AS (SELECT scale, m, unnest(range(min(minute), any_value(hi) + 1)) AS minute FROM r, e GROUP BY scale, m),
+ f AS (SELECT spine.scale, spine.m, spine.minute, CASE WHEN spine.m = 'AvgLatencyMs' THEN coalesce(v > 10000, false) ELSE coalesce(v < 10, true) END AS breach,
+   CASE WHEN spine.m = 'AvgLatencyMs' THEN 2 ELSE 3 END AS periods FROM spine LEFT JOIN r USING (scale, m, minute))
+SELECT scale, m AS metric_name, strftime(make_timestamp(minute * 60000000), '%Y-%m-%d %H:%M:%S.%f') AS window_start,
+  CASE WHEN sum(breach::INT) OVER (PARTITION BY scale, m ORDER BY minute ROWS 1 PRECEDING) = 2 AND (periods = 2
+    OR sum(breach::INT) OVER (PARTITION BY scale, m ORDER BY minute ROWS 2 PRECEDING) = 3) THEN 'ALARM' ELSE 'OK' END AS state FROM f""")
+def alarm_states_stream(spark, sf):
+    """Both alarms judged as the minutes close, up to a minute before the newest sample."""
+    out = shared_dir(spark, "alarm-stream")
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    states = alarms.alarm_stream(dense_samples(p.samples_of(p.events_view(raw))))
+    flows.to_parquet(states, f"{out}/states", f"{out}/checkpoint").awaitTermination()
+    return alarm_out(spark.read.parquet(f"{out}/states"))
+
+
 PREV = """, q AS (SELECT *, lag(value) OVER w AS pv, lag(timestamp) OVER w AS pt FROM samples
   WINDOW w AS (PARTITION BY experiment_name, metric_name ORDER BY timestamp, event_id))"""
 

@@ -113,8 +113,12 @@ def experiment() -> Column:
 
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
+    return samples_of(ev(spark, sf))
+
+
+def samples_of(base: DataFrame) -> DataFrame:
     names = F.create_map(*[F.lit(x) for pair in METRIC_OF.items() for x in pair])
-    return ev(spark, sf).select("event_id", F.col("ts").alias("timestamp"),
+    return base.select("event_id", F.col("ts").alias("timestamp"),
                                 experiment().alias("experiment_name"),
                                 F.lit("spark").alias("source"),
                                 F.element_at(names, F.col("event_type")).alias("metric_name"), "value",
