@@ -11,7 +11,7 @@ from fareflow.functions.places import infra_of, sla_flag
 from fareflow.operators import experiments as ex
 from fareflow.operators import lineage as ln
 from fareflow.operators import observability as ob
-from fareflow.operators import quantiles, reports, surge
+from fareflow.operators import quantiles, reports, sketches, surge
 from fareflow.session import shared_dir
 from fareflow.sources import files
 from fareflow.streaming import alarms, flows
@@ -279,6 +279,16 @@ def latency_percentiles_approx(spark, sf):
     return reports.latency_percentiles(latencies(spark, sf))
 
 
+@case("""SELECT city_id, count(*) AS n, true AS p50_ms_within, true AS p95_ms_within, true AS p99_ms_within
+FROM samples GROUP BY city_id""")
+def latency_sketches(spark, sf):
+    """Percentiles per city from stored daily sketches, against the true ranks of all rows."""
+    root, rows = shared_dir(spark, "sketches"), p.samples(spark, sf)
+    sketches.write_sketches(sketches.daily_sketches(rows, ["city_id"], "value", "timestamp"), root)
+    found = sketches.percentiles(sketches.merged(spark, root, ["city_id"]), reports.POINTS)
+    return sketches.within_rank_error(rows, found, ["city_id"], "value", reports.POINTS, sketches.rank_error(sure=2))
+
+
 @case(""", g AS (SELECT city_id, list_sort(list(value)) AS v FROM samples GROUP BY city_id)
 SELECT city_id, v[1 + least(CAST(floor(len(v) * 0.5::DOUBLE) AS INT), len(v) - 1)] AS p50,
   v[1 + least(CAST(floor(len(v) * 0.95::DOUBLE) AS INT), len(v) - 1)] AS p95,
