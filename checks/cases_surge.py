@@ -12,7 +12,7 @@ from fareflow.operators import alerts, events, joins, surge
 from fareflow.plans import serving
 from fareflow.session import shared_dir
 from fareflow.sources import keyed, streams
-from fareflow.streaming import flows
+from fareflow.streaming import flows, late
 from fareflow.streaming import surge as surge_stream
 
 HOUR = 3600
@@ -290,8 +290,8 @@ def newest_first(spark, base, out, parts=3):
 def driver_status_late(spark, sf):
     """The driver table fed newest days first, compacted on the way: the latest event still wins."""
     out = shared_dir(spark, "driver-late")
-    late = newest_first(spark, p.ev(spark, sf), f"{out}/in")
-    flows.driver_status_table(p.pings_of(late), f"{out}/table", f"{out}/checkpoint", compact_every=2).awaitTermination()
+    source = newest_first(spark, p.ev(spark, sf), f"{out}/in")
+    flows.driver_status_table(p.pings_of(source), f"{out}/table", f"{out}/checkpoint", compact_every=2).awaitTermination()
     return flows.driver_statuses(spark, f"{out}/table").select("driver_id", "city_id", "zone_id", "status", text("kafka_ts"))
 
 
@@ -310,6 +310,31 @@ def hot_store_levels(spark, sf):
     return keyed.read_current(spark, root, keys).filter(keep).select("zone_id", "timestamp", "city_id", "waiting_riders")
 
 
+def routed_late(spark, sf):
+    """Newest days first through the router, then the surge stream over what was on time."""
+    root = shared_dir(spark, "late")
+    job = surge_stream.SurgeJob(f"{root}/hot", f"{root}/checkpoint", HOUR, with_kpis=False)
+    pings = p.pings_of(newest_first(spark, p.ev(spark, sf), f"{root}/in"), few_zones=True)
+    late.route(pings, job).awaitTermination()
+    surge_stream.start(late.on_time_events(spark, job, pings.schema), job, availableNow=True).awaitTermination()
+    return job
+
+
+@case(WINDOW_SQL + ", demand_ratio, surge_multiplier, CAST(window_start AS DATE) < DATE '2024-01-21' AS changed FROM zw")
+def late_rows_folded(spark, sf):
+    """Two thirds of the rows come late, and the windows are still those of all rows."""
+    return windows_out(late.with_late(spark, routed_late(spark, sf)), "demand_ratio", "surge_multiplier", "changed")
+
+
+@case("""SELECT CAST(ts AS DATE) < DATE '2024-01-21' AS late, count(*) AS events, count(DISTINCT driver_id) AS drivers FROM pings GROUP BY ALL""")
+def late_rows_kept(spark, sf):
+    """Rows on time and late rows together are all rows."""
+    job = routed_late(spark, sf)
+    on_time = keyed.read_current(spark, f"{job.root}/on_time", []).select("driver_id", F.lit(False).alias("late"))
+    both = on_time.unionByName(late.late_rows(spark, job).select("driver_id", F.lit(True).alias("late")))
+    return both.groupBy("late").agg(F.count("*").alias("events"), F.count_distinct("driver_id").alias("drivers"))
+
+
 @case("SELECT event_id, 'Z_' || upper(substr(md5(format('{:.1f}_{:.1f}', CAST(floor(lat / 0.5) AS BIGINT) * 0.5, "
       "CAST(floor(lng / 0.5) AS BIGINT) * 0.5)), 1, 6)) AS zone FROM pings")
 def derive_zones(spark, sf):

@@ -142,6 +142,11 @@ def compact(spark: SparkSession, root: str, keys: list[str], upto: int, keep: Co
     return Compaction(written, sum(1 for g, _ in after.cells.values() if g == generation), sum(n for _, n in after.cells.values()))
 
 
+def has_batches(spark: SparkSession, root: str) -> bool:
+    """Has any batch of the table been written?"""
+    return bool(_complete(spark, f"{root}/changes") or _manifests(spark, root))
+
+
 def maintain(spark: SparkSession, root: str, keys: list[str], batch_id: int, every: int, keep: Column | None = None,
              order: tuple[str, ...] = (), stride: int = 1) -> None:
     """Every ``every`` batches, also empty ones: compact what is there, drop what expired, remove
