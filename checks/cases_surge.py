@@ -8,7 +8,7 @@ from checks import projections as p
 from checks.registry import case, text
 from fareflow.functions.timeparts import normalize_event_time
 from fareflow.functions.places import derive_zone
-from fareflow.operators import alerts, events, joins, surge
+from fareflow.operators import alerts, events, joins, surge, versions
 from fareflow.plans import serving
 from fareflow.session import shared_dir
 from fareflow.sources import keyed, streams
@@ -411,6 +411,45 @@ def downgrade_events(spark, sf):
     return down.select("event_id", "timestamp", "schema_version", events.satisfies_version(1).alias("valid_v1"))
 
 
+WHOLE = """, w AS (SELECT *, list_filter(['n', 'extra', 'big', CASE WHEN n % 11 <> 0 THEN 'driver_id' END, CASE WHEN n % 13 <> 0 THEN 'lat' END, 'lon',
+    CASE WHEN n % 17 <> 0 THEN 'status' END, CASE WHEN n % 3 < 2 THEN 'timestamp' END, CASE WHEN n % 5 = 0 THEN 'vehicle_type' END,
+    CASE WHEN n % 10 = 4 THEN 'event_time' END, CASE WHEN n % 10 IN (4, 5, 6, 7) THEN 'schema_version' END], lambda x: x IS NOT NULL) AS f FROM req),
+ u AS (SELECT *, CASE WHEN version = 1 THEN list_distinct(list_concat(list_filter(f, lambda x: x <> 'timestamp'),
+    ['event_time', 'vehicle_type', 'battery_level', 'zone_id', 'schema_version'])) ELSE f END AS g FROM w),
+ d AS (SELECT *, list_distinct(list_concat(list_filter(g, lambda x: x NOT IN ('vehicle_type', 'battery_level', 'zone_id', 'event_time', 'schema_version')),
+    ['schema_version'], CASE WHEN list_contains(g, 'event_time') THEN ['timestamp'] ELSE [] END)) AS h FROM u)
+SELECT n AS event_id, '{"a":[1,null,2.5],"b":{"c":"x"}}' AS extra, '12345678901234567890' AS big, """
+
+
+def whole_events(spark, sf):
+    """The request bodies with fields that no version knows."""
+    more = F.lit(',"extra":{"a":[1,null,2.5],"b":{"c":"x"}},"big":12345678901234567890}')
+    return p.requests(spark, sf).withColumn("value", F.concat(F.expr("left(value, length(value) - 1)"), more))
+
+
+def fields_out(df, *more):
+    got = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    names = F.array_join(F.array_sort(F.json_object_keys("value")), ",")
+    return df.select("event_id", got("extra"), got("big"), names.alias("fields"), *more)
+
+
+@case(WHOLE + """array_to_string(list_sort(g), ',') AS fields,
+  CASE WHEN version >= 2 THEN 'same' WHEN version = 1 THEN 'upgraded' ELSE 'unsupported' END AS upgrade FROM d""")
+def upgrade_whole_events(spark, sf):
+    """No field of an event is lost, whatever its name."""
+    return fields_out(versions.upgrade_json(whole_events(spark, sf), now=F.expr(NOW)), "upgrade")
+
+
+@case(WHOLE + """array_to_string(list_sort(h), ',') AS fields, CASE WHEN version = 1 THEN
+    CASE WHEN n % 3 = 0 THEN strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S+00:00')
+         WHEN n % 3 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') ELSE '2024-03-01T10:20:30+00:00' END
+    WHEN n % 10 = 4 THEN 't2' WHEN n % 3 = 0 THEN CAST(CAST(floor(epoch(ts)) AS BIGINT) AS VARCHAR)
+    WHEN n % 3 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS timestamp FROM d""")
+def downgrade_whole_events(spark, sf):
+    up = versions.upgrade_json(whole_events(spark, sf), now=F.expr(NOW))
+    return fields_out(versions.downgrade_json(up), F.get_json_object("value", "$.timestamp").alias("timestamp"))
+
+
 @case(f"""SELECT CAST(day AS VARCHAR) AS day, 1 AS from_version, 2 AS to_version, count(*) AS upgraded_count
   FROM req WHERE version = 1 GROUP BY day""")
 def schema_upgrade_counts(spark, sf):
