@@ -12,7 +12,7 @@ from fareflow.operators import alerts, events, joins, surge, versions
 from fareflow.plans import serving
 from fareflow.session import shared_dir
 from fareflow.sources import keyed, streams
-from fareflow.streaming import flows, late
+from fareflow.streaming import adaptive, flows, late
 from fareflow.streaming import surge as surge_stream
 
 HOUR = 3600
@@ -335,6 +335,21 @@ def late_rows_kept(spark, sf):
     return both.groupBy("late").agg(F.count("*").alias("events"), F.count_distinct("driver_id").alias("drivers"))
 
 
+@case(WINDOW_SQL + ", demand_ratio, surge_multiplier FROM zw")
+def zone_surge_adaptive(spark, sf):
+    """Half the days with windows of half an hour, then a restart with hours: hours are whole for all days."""
+    root = shared_dir(spark, "adaptive")
+    job = adaptive.AdaptiveJob(f"{root}/hot", f"{root}/checkpoint", slot_seconds=HOUR // 4, watermark_seconds=60 * 24 * HOUR,
+                               keep_hours=10**6)
+    base, day = p.ev(spark, sf), F.dayofmonth("ts")
+    for n, (share, seconds) in enumerate([(day % 2 == 0, HOUR // 2), (day % 2 == 1, HOUR)]):
+        base.filter(share).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        adaptive.record(spark, job, adaptive.Decision(n + 1, 1000, seconds, 4, 2000, 5))
+        pings = p.pings_of(spark.readStream.schema(base.schema).parquet(f"{root}/in"), few_zones=True)
+        adaptive.start(pings, job, availableNow=True).awaitTermination()
+    return windows_out(adaptive.windows_of(spark, job, HOUR), "demand_ratio", "surge_multiplier")
+
+
 @case("SELECT event_id, 'Z_' || upper(substr(md5(format('{:.1f}_{:.1f}', CAST(floor(lat / 0.5) AS BIGINT) * 0.5, "
       "CAST(floor(lng / 0.5) AS BIGINT) * 0.5)), 1, 6)) AS zone FROM pings")
 def derive_zones(spark, sf):
