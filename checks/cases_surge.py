@@ -152,24 +152,50 @@ def gps_status_join_stream(spark, sf):
     return spark.read.parquet(f"{out}/pairs")
 
 
-@case(""", hist AS (SELECT zone10 AS zone_id, strftime(pings.ts, '%Y-%m-%dT%H') AS hour_bucket, count(*) AS history_trips,
+def demand_history(rides):
+    """The demand of hours before 18, as the daily job keeps it."""
+    return rides.filter(F.hour("ts") < 18).groupBy(
+        F.concat(F.lit("Z"), (F.col("user_id") % 10).cast("string")).alias("zone_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH").alias("hour_bucket")).agg(
+        F.count("*").alias("trip_count"), F.lit(1.0).alias("avg_surge"),
+        F.round(F.avg(F.col("value").cast("decimal(18,2)")), 2).cast("double").alias("avg_fare_inr"))
+
+
+HISTORY_SQL = """, hist AS (SELECT zone10 AS zone_id, strftime(pings.ts, '%Y-%m-%dT%H') AS hour_bucket, count(*) AS history_trips,
     round(avg(value::DECIMAL(18,2)) + 1e-9, 2) AS history_fare_inr FROM pings JOIN ev ON pings.n = ev.event_id
   WHERE hour(pings.ts) < 18 GROUP BY ALL)
 SELECT zw.zone_id, zw.city_id, strftime(window_start, '%Y-%m-%dT%H') AS hour_bucket, surge_multiplier,
   history_trips, history_fare_inr FROM zw LEFT JOIN hist ON zw.zone_id = hist.zone_id
-  AND strftime(window_start, '%Y-%m-%dT%H') = hist.hour_bucket""")
+  AND strftime(window_start, '%Y-%m-%dT%H') = hist.hour_bucket"""
+
+
+@case(HISTORY_SQL)
 def surge_with_history(spark, sf):
     """Hours from 18 on have no history and keep nulls."""
-    ride = p.ev(spark, sf).filter(F.hour("ts") < 18)
-    history = ride.groupBy(F.concat(F.lit("Z"), (F.col("user_id") % 10).cast("string")).alias("zone_id"),
-                           F.date_format("ts", "yyyy-MM-dd'T'HH").alias("hour_bucket")).agg(
-        F.count("*").alias("trip_count"), F.lit(1.0).alias("avg_surge"),
-        F.round(F.avg(F.col("value").cast("decimal(18,2)")), 2).cast("double").alias("avg_fare_inr"))
+    history = demand_history(p.ev(spark, sf))
     joined = joins.enrich_with_history(surge.with_surge(hourly(spark, sf)), history)
     return joined.select("zone_id", "city_id", "hour_bucket", "surge_multiplier", "history_trips",
                          "history_fare_inr")
 
 
+@case(HISTORY_SQL.replace("surge_multiplier,", "surge_multiplier, 1 + day(window_start) % 2 AS history_version,"))
+def surge_with_history_stream(spark, sf):
+    """Even days first, with the demand of even days; then odd days, after the daily job has added theirs."""
+    root = shared_dir(spark, "history-stream")
+    job = surge_stream.SurgeJob(f"{root}/hot", f"{root}/checkpoint", HOUR, watermark_seconds=60 * 24 * HOUR, with_kpis=False,
+                                history_root=f"{root}/demand")
+    base = p.ev(spark, sf)
+    for version in (1, 2):
+        share = base.filter(F.dayofmonth("ts") % 2 == version - 1)
+        keyed.upsert(demand_history(share).withColumn("city_id", F.lit("any")), job.history_root, version)
+        share.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        pings = p.pings_of(spark.readStream.schema(base.schema).parquet(f"{root}/in"), few_zones=True)
+        surge_stream.start(pings, job, availableNow=True).awaitTermination()
+    return surge_stream.history_table(spark, job).select(
+        "zone_id", "city_id", "hour_bucket", "surge_multiplier", F.col("history_version").cast("int").alias("history_version"),
+        "history_trips", "history_fare_inr")
+
+
 @case("""SELECT zone_id, strftime(window_start, '%Y-%m-%d %H:%M:%S.%f') AS window_start, city_id,
   CASE WHEN hour(window_start) >= 12 THEN on_trip_count ELSE 0 END AS on_trip_count FROM zw""")
 def serving_union(spark, sf):

@@ -147,6 +147,11 @@ def has_batches(spark: SparkSession, root: str) -> bool:
     return bool(_complete(spark, f"{root}/changes") or _manifests(spark, root))
 
 
+def newest_batch(spark: SparkSession, root: str) -> int | None:
+    """The largest batch number the table holds."""
+    return max([*_complete(spark, f"{root}/changes"), *[upto for upto, _ in _manifests(spark, root)]], default=None)
+
+
 def maintain(spark: SparkSession, root: str, keys: list[str], batch_id: int, every: int, keep: Column | None = None,
              order: tuple[str, ...] = (), stride: int = 1) -> None:
     """Every ``every`` batches, also empty ones: compact what is there, drop what expired, remove

@@ -14,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from fareflow import schemas
 from fareflow.operators import surge
 from fareflow.operators.events import decode_events, drop_keyless
+from fareflow.operators.joins import enrich_with_history
 from fareflow.sources import keyed
 
 WINDOW_KEYS = ["zone_id", "city_id", "window_start"]
+HISTORY_KEYS = ["zone_id", "hour_bucket", "city_id"]
 RECORD_KEYS = ["zone_id", "city_id", "timestamp"]
 
 
@@ -26,7 +28,12 @@ class SurgeJob:
     ``windows`` (every zone window), ``surge_pricing`` (the busiest window of
     each zone and batch), ``kpis`` and ``lineage`` (start and end of every attempt
     at a batch, failed ones too). Every ``compact_every`` batches all are compacted;
-    rows older than ``keep_hours`` expire then."""
+    rows older than ``keep_hours`` expire then.
+
+    With ``history_root``, the keyed demand table of the daily job, all windows also go
+    to ``with_history``, joined with the usual demand of their zone and hour. The demand
+    is read anew in every batch, as of its newest day, so a daily run shows without a
+    restart; a batch that runs again takes the day it took before."""
 
     root: str
     checkpoint: str
@@ -37,6 +44,7 @@ class SurgeJob:
     source: str = "gps-normal"
     compact_every: int = 500
     keep_hours: int = 24
+    history_root: str | None = None
 
     @property
     def delay(self) -> str:
@@ -72,6 +80,8 @@ def write_batch(job: SurgeJob):
                     kpis = surge.batch_kpis(busiest.withColumn("batch_id", F.lit(batch_id)), job.window_seconds)
                     tables["kpis"] = kpis.select(F.lit(batch_id).alias("batch"), started.alias("computed_at"),
                                                  F.lit(job.scale_level).alias("scale_level"), "*")
+                if job.history_root:
+                    tables["with_history"] = with_history(zones, job, batch_id)
                 writes = [lambda name=name: keyed.upsert(tables[name], f"{job.root}/{name}", batch_id) for name in tables]
                 writes.append(lambda: note.start(count))
                 with ThreadPoolExecutor(len(writes)) as pool:
@@ -89,6 +99,31 @@ def write_batch(job: SurgeJob):
     return write
 
 
+def with_history(zones: DataFrame, job: SurgeJob, batch_id: int) -> DataFrame:
+    """The zones of a batch with the usual demand as of the version that the batch is bound to."""
+    spark = zones.sparkSession
+    version = _history_version(spark, job, batch_id)
+    if version is None:
+        demand = spark.createDataFrame([], "zone_id string, hour_bucket string, trip_count bigint, avg_surge double, avg_fare_inr double")
+    else:
+        demand = keyed.read_current(spark, job.history_root, HISTORY_KEYS, as_of=version)
+    return enrich_with_history(zones, demand).withColumn("history_version", F.lit(version).cast("bigint"))
+
+
+def _history_version(spark: SparkSession, job: SurgeJob, batch_id: int) -> int | None:
+    """The newest version, marked for the batch when it first asks; what is marked is kept."""
+    marks = f"{job.root}/with_history/versions"
+    fs, here = keyed.hadoop_path(spark, f"{marks}/{batch_id}")
+    found = [int(s.getPath().getName()) for s in fs.listStatus(here)] if fs.exists(here) else []
+    if found:
+        return min(found)
+    version = keyed.newest_batch(spark, job.history_root)
+    if version is not None:
+        fs.mkdirs(keyed.hadoop_path(spark, f"{marks}/{batch_id}/{version}")[1])
+    fs.delete(keyed.hadoop_path(spark, f"{marks}/{batch_id - 1}")[1], True)
+    return version
+
+
 def start(events: DataFrame, job: SurgeJob, **trigger) -> StreamingQuery:
     """Run on decoded events with a ``kafka_ts`` column."""
     seconds = min(job.window_seconds, 5)
@@ -107,6 +142,10 @@ def windows_table(spark, job: SurgeJob) -> DataFrame:
     return keyed.read_current(spark, f"{job.root}/windows", WINDOW_KEYS)
 
 
+def history_table(spark, job: SurgeJob) -> DataFrame:
+    return keyed.read_current(spark, f"{job.root}/with_history", WINDOW_KEYS)
+
+
 def surge_table(spark, job: SurgeJob) -> DataFrame:
     return keyed.read_current(spark, f"{job.root}/surge_pricing", RECORD_KEYS)
 
@@ -151,7 +190,7 @@ def tidy(spark: SparkSession, job: SurgeJob, batch_id: int) -> None:
     """Compaction and expiry of all tables, when it is their turn."""
     oldest = F.lit(datetime.now(timezone.utc) - timedelta(hours=job.keep_hours))
     for name, keys, time in (("windows", WINDOW_KEYS, "window_end"), ("surge_pricing", RECORD_KEYS, "computed_at"),
-                             ("kpis", ["batch"], "computed_at")):
+                             ("kpis", ["batch"], "computed_at"), ("with_history", WINDOW_KEYS, "window_end")):
         keyed.maintain(spark, f"{job.root}/{name}", keys, batch_id, job.compact_every, F.col(time) >= oldest)
     keyed.maintain(spark, f"{job.root}/lineage", [], batch_id, job.compact_every, F.col("at") >= oldest, stride=PER_BATCH)
 

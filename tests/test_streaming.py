@@ -169,6 +169,28 @@ def test_router_splits_as_the_watermark_would(spark, tmp_path):
     assert seconds(late_stream.late_rows(spark, job)) == [1002, 1002, 1046]
 
 
+def test_history_is_renewed_per_batch(spark, tmp_path):
+    """A new day of demand shows in the next batch; a batch that runs again keeps its version."""
+    job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600, with_kpis=False, history_root=str(tmp_path / "demand"))
+    zones = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600)
+    write = surge_stream.write_batch(job)
+    trips = lambda: {r.history_trips for r in surge_stream.history_table(spark, job).select("history_trips").collect()}
+    demand = zones.select("zone_id", "city_id", F.date_format("window_start", "yyyy-MM-dd'T'HH").alias("hour_bucket"),
+                          F.lit(1.0).alias("avg_surge"), F.lit(2.0).alias("avg_fare_inr")).distinct()
+    write(zones, 1)
+    assert trips() == {None}  # no daily run yet
+    for day, n in ((20240101, 5), (20240102, 6)):
+        keyed.upsert(demand.withColumn("trip_count", F.lit(n)), job.history_root, day)
+        write(zones, n)
+        assert trips() == {n}
+    write(zones, 6)
+    keyed.upsert(demand.withColumn("trip_count", F.lit(9)), job.history_root, 20240103)
+    write(zones, 6)
+    assert trips() == {6}
+    write(zones, 7)
+    assert trips() == {9}
+
+
 def test_tables_stay_small(spark, tmp_path):
     job = surge_stream.SurgeJob(str(tmp_path / "out"), "cp", 3600, with_kpis=False, compact_every=4, keep_hours=10**6)
     zones = surge.zone_surge(p.pings(spark, SF, few_zones=True), 3600)
