@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import projections as p
@@ -131,6 +133,18 @@ def marts_roundtrip(spark, sf):
     return dated(files.read_mart(spark, out, "zone_heatmap"))
 
 
+@case("""SELECT city_id, CAST(date AS VARCHAR) AS date, total_trips, total_revenue_inr,
+  CASE WHEN date > DATE '2024-01-15' THEN total_trips * 2 END AS doubled FROM city_stats""")
+def marts_catalogue(spark, sf):
+    """City statistics through the catalogue, which learns of two runs from their log; the second has one more column."""
+    out, database = shared_dir(spark, "catalogue"), f"catalogue_{uuid.uuid4().hex}"
+    stats, early = marts.city_stats(p.trips(spark, sf)), F.col("date") <= F.lit("2024-01-15").cast("date")
+    for mart in (stats.filter(early), stats.filter(~early).withColumn("doubled", F.col("total_trips") * 2)):
+        files.write_marts({"city_stats": mart}, out)
+        files.sync_marts(spark, out, database, ("city_stats",))
+    return spark.table(f"{database}.city_stats").select("city_id", day(), "total_trips", "total_revenue_inr", "doubled")
+
+
 @case("""SELECT pickup_zone AS zone_id, CAST(date AS VARCHAR) || 'T' || lpad(CAST(pickup_hour AS VARCHAR), 2, '0') AS hour_bucket,
   city_id, trip_count, avg_surge, avg_fare_inr FROM zone_heatmap""")
 def zone_demand_upsert(spark, sf):

@@ -237,6 +237,25 @@ def metrics_csv_roundtrip(spark, sf):
                                      F.max("timestamp").alias("last_at")).withColumn("last_at", text("last_at"))
 
 
+@case("""SELECT city_id AS experiment, city_id NOT IN ('MUM', 'DEL') AS accepted, CASE city_id WHEN 'DEL' THEN 'missing columns: labels'
+    WHEN 'MUM' THEN 'columns in another order: timestamp, experiment_name, source, value, metric_name, labels' END AS reason,
+  CASE WHEN city_id NOT IN ('MUM', 'DEL') THEN count(*) ELSE 0 END AS rows_read FROM samples GROUP BY city_id""")
+def metric_file_verdicts(spark, sf):
+    """Two experiments whose files have wrong columns are listed with the reason, and not read."""
+    root = shared_dir(spark, "metric-files")
+    rows = p.samples(spark, sf).withColumn("timestamp", p.iso_text("timestamp")).withColumn("experiment_name", F.col("city_id"))
+    columns = ["timestamp", "experiment_name", "source", "metric_name", "value", "labels"]
+    shapes = [(~F.col("city_id").isin("MUM", "DEL"), columns), (F.col("city_id") == "DEL", columns[:-1]),
+              (F.col("city_id") == "MUM", [*columns[:3], "value", "metric_name", "labels"])]
+    for which, names in shapes:
+        (rows.filter(which).select(F.col("city_id").alias("experiment"), *names).write.mode("append").partitionBy("experiment")
+         .option("header", True).csv(root))
+    found = files.metric_files(spark, root).select(F.regexp_extract("file", "experiment=([A-Z]+)", 1).alias("experiment"), "accepted", "reason").distinct()
+    read = files.read_metrics(spark, root).groupBy("experiment_name").agg(F.count("*").alias("n"))
+    return found.join(read, F.col("experiment") == F.col("experiment_name"), "left").select(
+        "experiment", "accepted", "reason", F.coalesce("n", F.lit(0)).alias("rows_read"))
+
+
 @case("""SELECT event_id, CASE WHEN value * 100 < 5000 THEN 'PASS' ELSE 'FAIL' END AS sla_5s,
   CASE WHEN value * 1000 < 60000 THEN 'PASS' ELSE 'FAIL' END AS sla_60s,
   CASE user_id % 3 WHEN 0 THEN 'local' WHEN 1 THEN 'ec2' ELSE 'emr' END AS infra FROM samples""")

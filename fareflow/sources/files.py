@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareflow import schemas
 from fareflow.sources import keyed
@@ -17,6 +20,8 @@ MIN_INPUT_BYTES = 1_048_576
 CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
 
 METRIC_FILES = "{metrics_*,part-*}.csv"
+#: Table property: the newest run that the catalogue knows.
+SYNCED = "marts.synced"
 MART_PARTITIONS = {"driver_earnings": ("city_id", "date"), "zone_heatmap": ("city_id", "date"),
                    "surge_analysis": ("city_id", "date"), "city_stats": ("date",)}
 
@@ -90,6 +95,7 @@ def write_marts(marts: dict[str, DataFrame], out: str, date: str | None = None)
          .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{out}/{name}"))
         if date is not None:
             _drop_stale(session, f"{out}/{name}", date, began[name])
+        _note_partitions(session, marts[name], out, name, date)
 
     session = next(iter(marts.values())).sparkSession
     began = {name: _partition_files(session, f"{out}/{name}", date) if date else set() for name in marts}
@@ -112,6 +118,62 @@ def _drop_stale(spark: SparkSession, root: str, date: str, before: set[str]) ->
         fs.delete(keyed.hadoop_path(spark, path)[1], False)
 
 
+def _note_partitions(spark: SparkSession, mart: DataFrame, out: str, name: str, date: str | None) -> None:
+    """Add what a run wrote to the mart's log: its partitions and its schema. A day's partitions are
+    found by listing that day alone."""
+    parts = MART_PARTITIONS[name]
+    if date is None:
+        rows = mart.select(*[F.col(c).cast("string") for c in parts]).distinct()
+        specs = rows.select(F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(c, F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in parts]).alias("spec"))
+    else:
+        found = {"/".join(f.split("/")[-1 - len(parts):-1]) for f in _partition_files(spark, f"{out}/{name}", date)}
+        specs = spark.createDataFrame([(f,) for f in sorted(found)], "spec string")
+    run = time.time_ns() // 1000
+    (specs.select("spec", F.lit(mart.schema.json()).alias("schema")).coalesce(1).write.mode("overwrite")
+     .parquet(f"{out}/_log/{name}/run={run}"))
+
+
+def sync_marts(spark: SparkSession, out: str, database: str, names=tuple(MART_PARTITIONS)) -> dict[str, int]:
+    """Bring the catalogue up to date from the runs logged since the last call; returns the
+    number of partitions added per mart.
+
+    Nothing but the new entries of the log is listed or read. New columns are added to the table,
+    where older partitions have nulls; a column that a run no longer writes stays, and so does
+    a partition whose files are gone. How far a table is synchronised is one of its properties.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    return {name: _sync(spark, out, name, f"{database}.{name}") for name in names}
+
+
+def _sync(spark: SparkSession, out: str, name: str, table: str) -> int:
+    fs, marks = keyed.hadoop_path(spark, f"{out}/_log/{name}/*/_SUCCESS")
+    runs = sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in fs.globStatus(marks) or [])
+    exists = spark.catalog.tableExists(table)
+    known = spark.sql(f"SHOW TBLPROPERTIES {table}").filter(F.col("key") == SYNCED).first() if exists else None
+    new = [r for r in runs if known is None or r > int(known.value)]
+    if not new:
+        return 0
+    entries = spark.read.parquet(*[f"{out}/_log/{name}/run={r}" for r in new]).distinct().collect()
+    fields = {f.name: f for e in entries for f in T.StructType.fromJson(json.loads(e.schema))}
+    parts = MART_PARTITIONS[name]
+    if not exists:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values())
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({', '.join(parts)}) LOCATION '{out}/{name}'")
+    else:
+        have = set(spark.table(table).columns)
+        more = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields.values() if f.name not in have)
+        if more:
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({more})")
+    held = {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    specs = sorted({e.spec for e in entries} - held)
+    for at in range(0, len(specs), 500):
+        listed = " ".join("PARTITION (" + ", ".join("{}='{}'".format(*p.split("=", 1)) for p in spec.split("/")) + ")" for spec in specs[at:at + 500])
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{SYNCED}' = '{new[-1]}')")
+    spark.catalog.refreshTable(table)
+    return len(specs)
+
+
 def read_mart(spark: SparkSession, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{name}")
 
@@ -142,11 +204,45 @@ def write_metrics(samples: DataFrame, root: str) -> None:
      .partitionBy("experiment").option("header", True).csv(root))
 
 
-def read_metrics(spark: SparkSession, path: str | list[str], names: str = METRIC_FILES) -> DataFrame:
-    """All metric files under a path; unreadable files are skipped, a bad time
-    becomes null. ``names`` keeps fault logs of the same folder out."""
-    raw = (spark.read.schema(schemas.METRIC).option("header", True).option("ignoreCorruptFiles", True)
-           .option("recursiveFileLookup", True).option("pathGlobFilter", names).csv(path))
+def metric_files(spark: SparkSession, path: str | list[str], names: str = METRIC_FILES) -> DataFrame:
+    """One row per metric file under a path: ``file, bytes, accepted, reason``.
+
+    A file is accepted if its first line names the columns of the metric schema in their
+    order; the reason tells what else it is: unreadable, without a header, with columns
+    missing, unknown or in another order. Spark passes over empty files, so these are not listed. First lines are found in one scan that
+    keeps one line per file and task.
+    """
+    look = {"recursiveFileLookup": True, "pathGlobFilter": names}
+    listed = spark.read.format("binaryFile").options(**look).load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("length").alias("bytes"))
+    lines = spark.read.options(**look, ignoreCorruptFiles=True).text(path).select(
+        "value", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__at"),
+        F.monotonically_increasing_id().alias("__line"))
+    heads = lines.filter(F.col("__at") == 0).groupBy("__file").agg(
+        F.min_by("value", "__line").alias("__head"))
+    cells = F.transform(F.split(F.regexp_replace("__head", "^\ufeff", ""), ","), lambda c: F.lower(F.trim(F.replace(c, F.lit('"'), F.lit("")))))
+    want = F.array(*[F.lit(n) for n in schemas.METRIC.names])
+    listing = lambda text, some: F.concat(F.lit(text), F.array_join(some, ", "))
+    missing, unknown = F.array_except(want, "__cells"), F.array_except("__cells", want)
+    reason = (F.when(F.col("__head").isNull(), "unreadable")
+              .when(F.size(missing) == len(schemas.METRIC.names), "no header")
+              .when(F.size(missing) > 0, listing("missing columns: ", missing))
+              .when(F.size(unknown) > 0, listing("unknown columns: ", unknown))
+              .when(F.col("__cells") != want, listing("columns in another order: ", F.col("__cells"))))
+    return (listed.join(heads, F.col("file") == F.col("__file"), "left").withColumn("__cells", cells)
+            .withColumn("reason", reason).select("file", "bytes", F.col("reason").isNull().alias("accepted"), "reason"))
+
+
+def read_metrics(spark: SparkSession, path: str | list[str], names: str = METRIC_FILES, check: bool = True) -> DataFrame:
+    """All metric files under a path; unreadable files and those that ``metric_files`` does not
+    accept are skipped, a bad time becomes null. ``names`` keeps fault logs of the same folder
+    out; ``check=False`` trusts the headers and saves a scan."""
+    reader = (spark.read.schema(schemas.METRIC).option("header", True).option("ignoreCorruptFiles", True)
+              .option("recursiveFileLookup", True).option("pathGlobFilter", names))
+    raw = reader.csv(path)
+    if check:
+        good = metric_files(spark, path, names).filter("accepted").select(F.col("file").alias("__file"))
+        raw = raw.withColumn("__from", F.col("_metadata.file_path")).join(good, F.col("__from") == F.col("__file"), "left_semi").drop("__from")
     return raw.withColumn("timestamp", F.col("timestamp").try_cast("timestamp"))
 
 

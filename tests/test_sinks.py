@@ -73,6 +73,36 @@ def test_register(spark, tmp_path):
     assert spark.sql("SELECT count(*) n FROM city_stats").first().n == spark.table("rides.city_stats").count()
 
 
+def test_sync_adds_only_what_is_new(spark, tmp_path):
+    """New days by the log alone, a new column, a day whose files are gone, a day run again."""
+    import shutil
+    out, trips, db = str(tmp_path / "m"), p.trips(spark, SF), "synced"
+    day = lambda n: daily_marts.build_marts(trips.filter(f"date = '2024-01-{n:02d}'"))
+    count = lambda where="true": spark.sql(f"SELECT count(*) n FROM {db}.city_stats WHERE {where}").first().n
+    files.write_marts(day(3), out, "2024-01-03")
+    first = files.sync_marts(spark, out, db)
+    assert first["city_stats"] == 1 and first["zone_heatmap"] == first["surge_analysis"] > 1 and count() > 0
+    assert set(files.sync_marts(spark, out, db).values()) == {0}
+    # Another day brings another column; a folder the log does not know stays out.
+    wider = day(5)
+    wider["city_stats"] = wider["city_stats"].withColumn("note", F.lit("new"))
+    files.write_marts(wider, out, "2024-01-05")
+    day(6)["city_stats"].drop("date").write.parquet(f"{out}/city_stats/date=2024-01-06")
+    assert files.sync_marts(spark, out, db)["city_stats"] == 1
+    assert count("date = '2024-01-06'") == 0 and count("note = 'new'") == count("date = '2024-01-05'") > 0
+    assert count("note IS NULL") == count("date = '2024-01-03'") > 0
+    # A run without the column again, and a removed day: column and partition stay, queries work.
+    files.write_marts(day(7), out, "2024-01-07")
+    shutil.rmtree(f"{out}/city_stats/date=2024-01-03")
+    assert files.sync_marts(spark, out, db)["city_stats"] == 1
+    days = {r.partition for r in spark.sql(f"SHOW PARTITIONS {db}.city_stats").collect()}
+    assert days == {"date=2024-01-03", "date=2024-01-05", "date=2024-01-07"} and "note" in spark.table(f"{db}.city_stats").columns
+    assert count("date = '2024-01-05'") > 0 and count("date = '2024-01-07'") > 0
+    before = count("date = '2024-01-05'")
+    files.write_marts(day(5), out, "2024-01-05")
+    assert files.sync_marts(spark, out, db)["city_stats"] == 0 and count("date = '2024-01-05'") == before
+
+
 def test_keyed_table(spark, tmp_path):
     root = str(tmp_path / "table")
     put = lambda rows, n: keyed.upsert(spark.createDataFrame(rows, "k string, v int"), root, n)
@@ -200,6 +230,22 @@ def test_metrics_files(spark, tmp_path):
     assert files.union_experiments([one, two]).count() == 2
 
 
+def test_metric_file_verdicts(spark, tmp_path):
+    """Every file is listed with its reason; only accepted ones are read."""
+    head, row = "timestamp,experiment_name,source,metric_name,value,labels", "2026-04-16T04:20:41Z,e,spark,m,5.5,"
+    content = {
+        "good": f"{head}\n{row}\n", "quoted": '\ufeff"timestamp","experiment_name","source","metric_name","value","labels"\n' + row + "\n",
+        "swapped": "timestamp,experiment_name,source,value,metric_name,labels\n2026-04-16T04:20:41Z,e,spark,5.5,m,\n",
+        "short": "timestamp,experiment_name,metric_name,value\n2026-04-16T04:20:41Z,e,m,5.5\n", "more": f"{head},extra\n{row},1\n",
+        "bare": f"{row}\n", "only head": f"{head}\n"}
+    for name, text in content.items():
+        (tmp_path / f"metrics_{name}.csv").write_text(text)
+    got = {r.file.split("metrics_")[1].removesuffix(".csv").replace("%20", " "): r.reason for r in files.metric_files(spark, str(tmp_path)).collect()}
+    assert got == {"good": None, "quoted": None, "only head": None, "swapped": "columns in another order: timestamp, experiment_name, source, value, metric_name, labels",
+                   "short": "missing columns: source, labels", "more": "unknown columns: extra", "bare": "no header"}
+    assert [r.value for r in files.read_metrics(spark, str(tmp_path)).collect()] == [5.5, 5.5]
+
+
 def test_fault_log(spark, tmp_path):
     path = tmp_path / "fault_local" / "fault_events.csv"
     path.parent.mkdir()
