@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -49,10 +50,17 @@ HINTS = set("ad ads adbox adsense advert adverts advertisement advertising spons
             "disqus reply replies respond widget login toolbar pagination pager skip copyright disclaimer teaser outbrain taboola".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>|<[!?][^>]*>|</[^>]*>", re.S)
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^>])*+)>|<[!?][^>]*>|</[^>]*>", re.S)
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
+#: A class of this form tells what the page has or shows elsewhere, as in "has-sidebar" or "nav-open".
+STATE = re.compile(r"(?:no|has|have|with|without|is|hide|show)[-_].*|.*[-_](?:open|opened|closed|collapsed|expanded|enabled|disabled|active)", re.I)
+#: Elements that often wrap a whole page: what is inside counts as something else only beside other text.
+WRAPPERS = {"form", "dialog"}
+WRAPPER_ROLES = {"form", "dialog", "alertdialog"}
+#: How sure it is that an element is something else.
+NOT, WRAPPED, OTHER = 0, 1, 2
 
 COLUMNS = ("words", "links", "words_before", "links_before", "words_after", "links_after", "place", "other", "heading")
 
@@ -142,7 +150,7 @@ class Block:
     words: int = 0
     linked: int = 0
     inside: bool = False
-    other: bool = False
+    other: int = 0
     heading: bool = False
 
     @property
@@ -150,30 +158,43 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
-def hinted(name: str, attributes: str, in_main: bool) -> bool:
-    """Whether an element says that it is no main text."""
-    if name in OTHER_PARTS or (name == "header" and not in_main):
-        return True
-    if not attributes:
-        return False
+def hinted(name: str, attributes: str, in_main: bool) -> int:
+    """Whether an element says that it is no main text.
+
+    Classes of html and body tell about the page; those of an article or main element only count
+    as whole words, so that "post has-comments" or "share-42" is an article and "comment" is none.
+    """
+    if name in WRAPPERS:
+        sure = WRAPPED
+    elif name in OTHER_PARTS or (name == "header" and not in_main):
+        return OTHER
+    else:
+        sure = NOT
+    if not attributes or name in ("html", "body"):
+        return sure
     for m in ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key in ("class", "id"):
-            if any(p.lower() in HINTS for p in PART.findall(value)):
-                return True
+            for token in value.split():
+                parts = [token] if name in MAIN_PARTS else [] if STATE.fullmatch(token) else PART.findall(token)
+                if any(p.lower() in HINTS for p in parts):
+                    return OTHER
+        elif key == "role" and value.lower() in WRAPPER_ROLES:
+            sure = WRAPPED
         elif key == "role" and value.lower() in ROLES:
-            return True
+            return OTHER
         elif key == "hidden" and not value or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return OTHER
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return OTHER
+    return sure
 
 
 def blocks_of(page: str) -> tuple[list[Block], bool]:
     """The text blocks of a page, and whether it has an article."""
     found, has_main = [], False
-    stack: list[tuple[str, bool, bool, bool]] = []  # open elements: name, is in an article, is something else, is not read
+    stack: list[tuple[str, bool, int, bool]] = []  # open elements: name, is in an article, is something else, is not read
+    count: Counter[str] = Counter()                 # and how many there are of each name
     links = 0
     now = Block()
 
@@ -183,6 +204,13 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             found.append(now)
         now = Block()
 
+    def cut(at: int):
+        nonlocal links
+        for e in stack[at:]:
+            count[e[0]] -= 1
+            links -= e[0] == "a"
+        del stack[at:]
+
     def text(piece: str):
         if stack and stack[-1][3]:
             return
@@ -193,7 +221,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         piece = html.unescape(piece)
         n = len(piece.split())
         if n and not now.words:
-            now.inside, now.other = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            now.inside, now.other = (stack[-1][1], stack[-1][2]) if stack else (False, NOT)
             now.heading = any(e[0] in ("h1", "h2", "h3", "h4", "h5", "h6") for e in stack[-3:])
         now.parts.append(piece)
         now.words += n
@@ -208,7 +236,7 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
         name = m["name"].lower()
         if name in RAW_END and not m["end"]:
             # In drawings and formulas such an element can be self-closed.
-            if not (m["rest"].endswith("/") and any(e[0] in ("svg", "math") for e in stack)):
+            if not (m["rest"].endswith("/") and (count["svg"] or count["math"])):
                 over = RAW_END[name].search(page, at)
                 at = over.end() if over else len(page)
             continue
@@ -216,35 +244,38 @@ def blocks_of(page: str) -> tuple[list[Block], bool]:
             now.parts.append(" ")
             continue
         unread = bool(stack) and stack[-1][3]
-        if unread and name in BLOCKS and not m["end"]:
+        if unread and count["svg"] and name in BLOCKS and not m["end"]:
             drawing = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("svg", "foreignobject") or not stack[i][3]), None)
             if drawing is not None and stack[drawing][0] == "svg":
-                links -= sum(e[0] == "a" for e in stack[drawing:])
-                del stack[drawing:]
+                cut(drawing)
                 unread = bool(stack) and stack[-1][3]
         if name not in INLINE and name not in UNREAD and not unread:
             close()
         if name in VOID:
             continue
         if m["end"]:
-            open_at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if open_at is not None:
-                links -= sum(e[0] == "a" for e in stack[open_at:])
-                del stack[open_at:]
+            if count[name]:
+                cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
         elif not m["rest"].endswith("/"):
             if name not in INLINE and name not in UNREAD and not unread and stack and stack[-1][0] in INLINE:
                 # Inline elements left open end where a block begins.
                 while stack and stack[-1][0] in INLINE:
-                    links -= stack.pop()[0] == "a"
+                    cut(len(stack) - 1)
             if name in ("p", "option") and stack and stack[-1][0] == name:
-                stack.pop()
-            inside, other, unread = stack[-1][1:] if stack else (False, False, False)
+                cut(len(stack) - 1)
+            inside, other, unread = stack[-1][1:] if stack else (False, NOT, False)
             if name in MAIN_PARTS and not unread:
                 inside = has_main = True
-            stack.append((name, inside, other or hinted(name, m["rest"], inside), unread or name in UNREAD))
+                other = OTHER if other == OTHER else NOT  # an article in a wrapper is an article
+            stack.append((name, inside, max(other, hinted(name, m["rest"], inside)), unread or name in UNREAD))
+            count[name] += 1
             links += name == "a"
     text(page[at:])
     close()
+    # Where all text stands in wrappers, they hold the page.
+    alone = all(b.other for b in found)
+    for b in found:
+        b.other = b.other == OTHER or (b.other == WRAPPED and not alone)
     return found, has_main
 
 
