@@ -93,8 +93,10 @@ def balance(cells: DataFrame, goals: DataFrame, most: int = MOST) -> DataFrame:
             break
         at = cells.withColumnRenamed("source", "s").join(open_, F.col("source").eqNullSafe(F.col("s")))
         words = F.col("n") * F.col("size") * rate(most)
-        sums = at.groupBy("s").agg(F.sum(words).alias("words"), F.sum(
-            F.when(rate(most) < most, words * F.col("size") / F.col("scale")).otherwise(0.0)).alias("slope"))
+        slope = F.when(rate(most) < most, words * F.col("size") / F.col("scale")).otherwise(0.0)
+        # Summed as DECIMAL: the same in any order, so reruns agree to the last digit.
+        exact = lambda c: F.sum(c.cast("decimal(28,6)")).cast("double")
+        sums = at.groupBy("s").agg(exact(words).alias("words"), exact(slope).alias("slope"))
         gap = F.col("words") - F.col("target")
         step = (state.join(sums, F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumn("gap", gap)
                 .withColumn("low", F.when(F.col("gap") < 0, F.col("lambda")).otherwise(F.col("low")))
