@@ -22,7 +22,8 @@ sketch has one parity bit per hash cell; two sets that differ in d shingles diff
 no more than d bits, so a pair that the sketches rule out is below the threshold.
 Buckets with very many lines are split over tasks.
 
-* blank lines and lines shorter than a shingle stay as they are.
+* blank lines, of white space alone, stay as they are. A line shorter than a shingle is near
+  only to lines equal to it.
 * null or empty text: no lines, nothing removed.
 * null doc_id: the largest id, so its lines go before those of others. Equal
   doc_ids are ordered by a hash of the text.
@@ -49,11 +50,11 @@ NO_ID = 2**63 - 1
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
-    """``k, tie, line_no, line, lid``: every line that has a shingle; ``k, tie`` name the document."""
+    """``k, tie, line_no, line, lid``: every line that is not blank; ``k, tie`` name the document."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return (documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64(text).alias("tie"),
                              F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-            .filter((F.octet_length("line") >= SHINGLE) & (F.trim("line") != ""))
+            .filter(F.col("line").rlike(r"\S"))
             .withColumn("lid", F.xxhash64("line")))
 
 
@@ -73,7 +74,7 @@ def bands(lines: DataFrame) -> DataFrame:
 
 def candidates(documents: DataFrame) -> DataFrame:
     """``lid, line, keys``: the different lines that share a band, with their buckets."""
-    found = occurrences(documents)
+    found = occurrences(documents).filter(F.octet_length("line") >= SHINGLE)
     # One line per task first, so that a line that fills a third of the input is a row per task.
     lines = found.groupBy("lid").agg(F.first("line").alias("line"))
     bucket = Window.partitionBy("key").orderBy("lid")
@@ -166,7 +167,7 @@ def repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def line_report(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_lines, n_removed, removed`` per document: lines with a shingle, and the numbers
+    """``doc_id, n_lines, n_removed, removed`` per document: lines that are not blank, and the numbers
     of the removed ones from 0 on, joined by commas."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("tie")).withColumn("k", F.coalesce("doc_id", F.lit(NO_ID)))
@@ -184,7 +185,7 @@ def without_repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     joined = documents.join(gone, (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__gone_k")) & (F.xxhash64(text) == F.col("__gone_tie")), "left")
     left = F.filter(F.split(text, "\n"), lambda line, i: ~F.array_contains(F.col("__gone_lines"), i))
     cleaned = F.when(F.col("__gone_k").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    kept = joined.filter(F.col("__gone_k").isNull() | (F.trim(F.translate(cleaned, "\n", " ")) != "")).withColumn("text", cleaned)
+    kept = joined.filter(F.col("__gone_k").isNull() | cleaned.rlike(r"\S")).withColumn("text", cleaned)
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         kept = kept.withColumn("n_chars", F.when(F.col("__gone_k").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(kind)))

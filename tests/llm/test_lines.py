@@ -89,3 +89,11 @@ def test_sketches_never_rule_out_a_near_pair(spark):
             differ = sum((sketched[i][f"bits{k}"] ^ sketched[j][f"bits{k}"]).bit_count() if sketched[i][f"bits{k}"] ^ sketched[j][f"bits{k}"] >= 0
                          else (2**64 + (sketched[i][f"bits{k}"] ^ sketched[j][f"bits{k}"])).bit_count() for k in range(lines.CELLS))
             assert differ <= len(s ^ sets[j])
+
+
+def test_short_and_blank_lines(spark):
+    """Equal short lines go, however short; lines of white space alone stay."""
+    docs = spark.createDataFrame([(1, "Reply\n\t\t\nx"), (2, "Reply\n\t\t\n \n\ny"), (3, "reply\nx"), (4, "\t\t\t\t\t\t\t\t\t\t")], "doc_id long, text string")
+    assert {r.doc_id: (r.n_lines, r.removed) for r in lines.line_report(docs).collect()} == {
+        1: (2, ""), 2: (2, "0"), 3: (2, "1"), 4: (0, "")}
+    assert {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}[2] == "\t\t\n \n\ny"

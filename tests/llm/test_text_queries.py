@@ -10,6 +10,7 @@ import zlib
 import pyarrow.parquet as pq
 import pytest
 
+from fareflow.llm import mixing
 from fareflow.llm.queries import ORACLES, QUERIES
 from tests.conftest import SF
 
@@ -48,10 +49,11 @@ def test_fuzzy_lines_like_brute_force(spark):
     spots = collections.defaultdict(list)
     for r in sorted(rows_of("documents"), key=lambda r: r["doc_id"]):
         for i, line in enumerate(r["text"].split("\n")):
-            if len(line.encode()) >= 8 and line.strip():
+            if line.strip():
                 spots[line].append((r["doc_id"], i))
     lines = list(spots)
-    sets = [{x.encode()[p:p + 8] for p in range(len(x.encode()) - 7)} for x in lines]
+    # A line shorter than a shingle is one itself.
+    sets = [{x.encode()[p:p + 8] for p in range(max(len(x.encode()) - 7, 1))} for x in lines]
     holders = collections.defaultdict(list)
     for n, s in enumerate(sets):
         for x in s:
@@ -164,3 +166,9 @@ def test_pipeline_stages(spark):
     leaks = {r["text"] for r in rows_of("benchmark")}
     kept = [words[r.doc_id] for r in docs.select("doc_id").collect()]
     assert not any(leak in text for leak in leaks for text in kept)
+
+
+def test_mix_does_not_depend_on_partitions(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    runs = [sorted(map(tuple, mixing.mix(docs.repartition(n)).select("doc_id", "copies", "taken").collect())) for n in (1, 5)]
+    assert runs[0] == runs[1]
