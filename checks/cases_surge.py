@@ -192,7 +192,7 @@ def surge_with_history_stream(spark, sf):
         pings = p.pings_of(spark.readStream.schema(base.schema).parquet(f"{root}/in"), few_zones=True)
         surge_stream.start(pings, job, availableNow=True).awaitTermination()
     return surge_stream.history_table(spark, job).select(
-        "zone_id", "city_id", "hour_bucket", "surge_multiplier", F.col("history_version").cast("int").alias("history_version"),
+        "zone_id", "city_id", "hour_bucket", "surge_multiplier", "history_version",
         "history_trips", "history_fare_inr")
 
 
