@@ -7,6 +7,9 @@ ln(c) - r * (t - b + 1); the word with the least value is the sample, together
 with its t. Two texts agree in a sample with the probability of their generalised
 Jaccard similarity: the sum of the smaller weights over the sum of the larger.
 
+A word's weights in the text and in the edited text share one set of draws; the
+exponentials behind the gamma variables take a polynomial for their logarithm (see ``LOG1P``).
+
 A value is kept as one number, 42 bits of the value in order and 21 bits of a
 hash of (word, t), so a sample is a plain minimum that tasks combine early.
 
@@ -22,6 +25,7 @@ descending order of doc_id; the last one's next is the first.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,42 +33,59 @@ from fareflow.llm.common import stored
 
 SAMPLES = 128
 #: Samples drawn side by side in one aggregate; small enough for compiled code.
-SIDE_BY_SIDE = 8
+SIDE_BY_SIDE = 2
 #: A task gets about this much text.
 TASK_BYTES = 4 << 20
+#: ln(1 + m) for m from 0 to 1 as a polynomial, lowest power first; off by less than 10^-7.
+LOG1P = [float(a) for a in np.polynomial.Chebyshev.interpolate(np.log1p, 8, domain=[0, 1]).convert(kind=np.polynomial.Polynomial).coef]
+LN2 = float(np.log(2))
 NOT_A_WORD = r"[\x20\x09-\x0D]+"
 LOWEST = -(2**63)
 
 
-def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys, samples``: an array of numbers per text with words; ``keys`` name a text.
+def _exponential(h: str, shift: int, m: str) -> str:
+    """-ln(u) for the uniform u = 2^-e * (1 + m): e from 12 bits of a hash, m from 20 others."""
+    bits = f"(shiftright({h}, {shift}) & 4095 | 4096)"
+    log = f"{LOG1P[-1]!r}D"
+    for a in LOG1P[-2::-1]:
+        log = f"({log} * {m} + {a!r}D)"
+    return f"({LN2!r}D * bit_count({bits} ^ ({bits} - 1)) - {log})"
+
 
-    Rows partitioned by (some of) the keys are not shuffled again.
+def fingerprints(texts: DataFrame, keys: list[str], versions: list[str], samples: int = SAMPLES) -> DataFrame:
+    """``keys`` and, under the name of each of the columns ``versions``, that text's ``samples`` numbers; null for a text without words.
+
+    ``keys`` name a row. Rows partitioned by (some of) the keys are not shuffled again. A word's variables
+    are drawn once for all versions of a row.
     """
-    words = texts.select(*keys, F.explode(F.split("text", NOT_A_WORD)).alias("word")).filter("word <> ''")
-    weights = (words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n")))
+    each_text = F.array(*[F.struct(F.lit(i).alias("v"), F.col(c).alias("text")) for i, c in enumerate(versions)])
+    words = (texts.select(*keys, F.explode(each_text).alias("x")).select(*keys, "x.v", F.explode(F.split("x.text", NOT_A_WORD)).alias("word"))
+             .filter("word <> ''").select(*keys, "v", F.xxhash64("word").alias("term")))
+    of = range(len(versions))
+    weights = words.groupBy(*keys, "term").agg(*[F.count_if(F.col("v") == i).alias(f"n{i}") for i in of])
+    # The weight of a word that a version lacks is null, and so is its value, which no minimum sees.
+    logs = [F.when(F.col(f"n{i}") > 0, F.log(F.col(f"n{i}").cast("double"))).alias(f"w{i}") for i in of]
     groups = -(-samples // SIDE_BY_SIDE)
-    rows = weights.select(*keys, "term", F.log(F.col("n").cast("double")).alias("ln_w"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    base = [*keys, "term", *[f"w{i}" for i in of], "g"]
     each = range(SIDE_BY_SIDE)
-    base = [*keys, "term", "ln_w", "g"]
-    # Three steps, so that every logarithm is taken once.
-    low, high = "(({h} & 4294967295) + 0.5D) / 4294967296D", "(shiftrightunsigned({h}, 32) + 0.5D) / 4294967296D"
-
-    def product(h):
-        return f"({low.format(h=h)}) * ({high.format(h=h)})"
-
+    rows = weights.select(*keys, "term", *logs, F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
+    # One step per use, so that everything is computed once.
     rows = rows.select(*base, *[F.expr(f"xxhash64(term, g, {3 * j + i})").alias(f"h{j}_{i}") for j in each for i in range(3)])
+    rows = rows.select(*base, *[f"h{j}_{i}" for j in each for i in range(3)], *[
+        F.expr(f"((shiftright(h{j}_{i}, {12 + half}) & 1048575) + 0.5D) / 1048576D").alias(f"m{j}_{i}_{half}") for j in each for i in (0, 1) for half in (0, 32)])
+    gamma = lambda j, i: f"{_exponential(f'h{j}_{i}', 0, f'm{j}_{i}_0')} + {_exponential(f'h{j}_{i}', 32, f'm{j}_{i}_32')}"
     rows = rows.select(*base, *[F.expr(x).alias(name) for j in each for x, name in (
-        (f"-ln({product(f'h{j}_0')})", f"r{j}"), (f"ln(-ln({product(f'h{j}_1')}))", f"c{j}"),
-        (f"(shiftrightunsigned(h{j}_2, 11) + 0.5D) / 9007199254740992D", f"b{j}"))])
-    rows = rows.select(*base, *[F.col(f"{v}{j}") for j in each for v in "rcb"], *[F.expr(f"floor(ln_w / r{j} + b{j})").alias(f"t{j}") for j in each])
+        (gamma(j, 0), f"r{j}"), (f"ln({gamma(j, 1)})", f"c{j}"), (f"(shiftrightunsigned(h{j}_2, 11) + 0.5D) / 9007199254740992D", f"b{j}"))])
+    rows = rows.select(*base, *[F.col(f"{v}{j}") for j in each for v in "rcb"],
+                       *[F.expr(f"floor(w{i} / r{j} + b{j})").alias(f"t{j}_{i}") for j in each for i in of])
     drawn = rows.groupBy(*keys, "g").agg(*[F.expr(
-        f"min(shiftleft(CAST(floor((c{j} - r{j} * (t{j} - b{j} + 1) + 128) * 8589934592D) AS BIGINT), 21) | (xxhash64(term, t{j}) & 2097151))").alias(f"s{j}")
-        for j in each])
+        f"min(shiftleft(CAST(floor((c{j} - r{j} * (t{j}_{i} - b{j} + 1) + 128) * 8589934592D) AS BIGINT), 21) | (xxhash64(term, t{j}_{i}) & 2097151))").alias(f"s{j}_{i}")
+        for j in each for i in of])
     # The few rows of a text become one array, in the order of their groups.
-    one = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("g", F.array(*[f"s{j}" for j in each]).alias("s")))).alias("parts"))
-    flat = F.slice(F.flatten(F.transform("parts", lambda p: p["s"])), 1, samples)
-    return one.select(*keys, F.transform(flat, lambda x: F.xxhash64(x).bitwiseAND(F.lit(2**32 - 1))).alias("samples"))
+    parts = [F.array(*[F.shiftright(F.xxhash64(f"s{j}_{i}"), 32).cast("int") for j in each]).alias(f"s{i}") for i in of]
+    one = drawn.select(*keys, "g", *parts, *[F.col(f"s0_{i}").isNotNull().alias(f"any{i}") for i in of]).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("g", *[f"s{i}" for i in of]))).alias("parts"), *[F.max(f"any{i}").alias(f"any{i}") for i in of])
+    return one.select(*keys, *[F.when(F.col(f"any{i}"), F.slice(F.flatten(F.col(f"parts.s{i}")), 1, samples)).alias(c) for i, c in enumerate(versions)])
 
 
 def likeness(a: str, b: str):
@@ -73,11 +94,11 @@ def likeness(a: str, b: str):
 
 
 def as_text(samples: str):
-    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(2**32 - 1)))), 8, "0")), "")
 
 
 def ring(ids: DataFrame) -> DataFrame:
-    """``k, tie, rows`` with the next key in descending order, and the key and length this one is next to,
+    """``k, tie, rows`` and the key and length of the text this one is next to, in descending order,
     from ``k, tie, n, rows``.
 
     Ids are range partitioned and written; each range is ordered by itself, and
@@ -116,16 +137,23 @@ def compare_neighbours(documents: DataFrame, samples: int = SAMPLES) -> DataFram
              .repartition(tasks, "k", "tie"))
     n = F.char_length("text")
     edited = F.concat(F.left("text", n - half(n)), F.col("head"))
-    both = own.join(heads, ["k", "tie"]).select("k", "tie", "rows", "next_k", "next_tie", "text", edited.alias("edited"))
-    versions = both.select("k", "tie", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
-    prints = fingerprints(versions.select("k", "tie", "x.v", "x.text"), ["k", "tie", "v"], samples)
-    # Both versions of a document in one row: still one partitioning.
-    none = F.array_repeat(F.lit(0).cast("long"), samples)
-    pair = prints.groupBy("k", "tie").agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
-    facts = both.select("k", "tie", "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
+    both = own.join(heads, ["k", "tie"]).select("k", "tie", "rows", "prev_k", "prev_tie", "text", edited.alias("edited"))
+    prints = fingerprints(both.select("k", "tie", F.col("text").alias("own"), F.col("edited").alias("changed")), ["k", "tie"], ["own", "changed"], samples)
+    none = F.array_repeat(F.lit(0), samples)
+    facts = both.select("k", "tie", "rows", "prev_k", "prev_tie", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    known = stored(facts.join(pair, ["k", "tie"], "left").withColumn("own", F.coalesce("own", none)).withColumn("changed", F.coalesce("changed", none)), "prints")
-    after = known.select(F.col("k").alias("next_k"), F.col("tie").alias("next_tie"), F.col("own").alias("next_own"))
-    return (known.join(after, ["next_k", "next_tie"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    known = (facts.join(prints, ["k", "tie"], "left")
+             .withColumns({"own": F.coalesce("own", none), "changed": F.coalesce("changed", none)}))
+    # A document's row stays with it and its samples go to the one it is next to: one exchange, and nothing is drawn twice.
+    row = F.struct("rows", "n_chars", "edited_sha256", "own", "changed")
+    sent = known.select(F.explode(F.array(
+        F.struct("k", "tie", row.alias("row"), F.lit(None).cast("array<int>").alias("next")),
+        F.struct(F.col("prev_k").alias("k"), F.col("prev_tie").alias("tie"), F.lit(None).cast(_row_type(known)).alias("row"), F.col("own").alias("next")))).alias("x"))
+    met = sent.select("x.*").repartition(tasks, "k", "tie").groupBy("k", "tie").agg(F.max("row").alias("row"), F.max("next").alias("next"))
+    return (met.select("k", "row.*", "next").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
             .select(F.when(F.col("k") != LOWEST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
-                    likeness("own", "changed").alias("near_edited"), likeness("own", "next_own").alias("near_next")))
+                    likeness("own", "changed").alias("near_edited"), likeness("own", "next").alias("near_next")))
+
+
+def _row_type(known: DataFrame):
+    return known.select("rows", "n_chars", "edited_sha256", "own", "changed").schema
