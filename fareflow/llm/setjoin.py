@@ -14,7 +14,8 @@ links between nodes:
    the most frequent on average. That is linear in the entries and joins a group of
    near copies through its common origin.
 2. Where a prefix shingle still holds nodes of different components, pairs across
-   components are compared, whoever the hub was. Links inside a component cannot
+   components are compared, whoever the hub was, unless the shingle's places in both
+   sets rule the pair out. Links inside a component cannot
    change it, so no pair is lost for the components.
 
 Shingle frequencies come from counts over all documents in 2^``SKETCH_BITS``
@@ -30,6 +31,7 @@ result. Shingles and sets are compared as 64-bit numbers.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,15 +46,18 @@ from fareflow.llm.tokens import distinct, mix, shingles, within, words
 
 SHINGLE = 5
 PERCENT = 80
-SKETCH_BITS = 16
+#: Cells of the sketch: 16 MB to broadcast at every input size.
+SKETCH_BITS = 21
+#: Cells that travel as one row.
+CELLS = 1 << 13
 LONGEST = 4
 #: Cost of verifying a pair against that of scanning one prefix entry.
 VERIFY = 8.0
 #: A shingle expected in more entries than this is split.
 SPLIT = 100_000
 
-META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, cell int, seen long"
-ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int, early boolean"
+META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, part int, seen binary"
+ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int, early boolean, at int"
 
 
 def shingle_sets(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,11 +86,11 @@ def node_of(doc: np.ndarray, number: np.ndarray, sizes: np.ndarray) -> np.ndarra
 
 
 def measure(documents: DataFrame) -> DataFrame:
-    """Per document its set's size and number; per task the sketch of its shingles (rows with ``cell``)."""
+    """Per document its set's size and number; per task the sketch of its shingles (rows with ``part``)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
 
-        names = ["doc_id", "tie", "n_shingles", "node", "cell", "seen"]
+        names = ["doc_id", "tie", "n_shingles", "node", "part", "seen"]
 
         for batch in batches:
             for part in slices(batch):
@@ -93,13 +98,32 @@ def measure(documents: DataFrame) -> DataFrame:
                 sketch += np.bincount((number & np.uint64(len(sketch) - 1)).astype(np.int64), minlength=len(sketch))
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()), pa.array(node_of(doc, number, sizes)),
-                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64())], names)
-        cell = np.flatnonzero(sketch)
-        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(cell), pa.int64())] * 4, pa.array(cell, pa.int32()), pa.array(sketch[cell])], names)
+                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+        parts = sketch.reshape(-1, CELLS)
+        used = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(len(used), pa.int64())] * 4, pa.array(used, pa.int32()),
+                                          pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary())], names)
 
     return documents.mapInArrow(rows, META_SCHEMA)
 
 
+def sketch_of(measured: DataFrame) -> np.ndarray:
+    """The sum of all tasks' sketches. A task adds up its parts as they come, one array per part."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, seen in zip(batch.column("part").to_pylist(), batch.column("seen")):
+                counts = np.frombuffer(zlib.decompress(seen.as_py()), np.int64)
+                sums[part] = sums[part] + counts if part in sums else counts
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], ["part", "seen"])
+
+    parts = measured.filter("part IS NOT NULL").select("part", "seen").repartition("part").mapInArrow(add, "part int, seen binary").collect()
+    sketch = np.zeros((1 << SKETCH_BITS) // CELLS * CELLS, np.int64)
+    for r in parts:
+        sketch[r.part * CELLS:(r.part + 1) * CELLS] = np.frombuffer(r.seen, np.int64)
+    return sketch
+
+
 def prefix_entries(documents: DataFrame, sketch: np.ndarray, percent: int = PERCENT) -> DataFrame:
     """The prefix of every set, one row per shingle."""
     shared = documents.sparkSession.sparkContext.broadcast(sketch)
@@ -140,11 +164,12 @@ def prefix_entries(documents: DataFrame, sketch: np.ndarray, percent: int = PERC
                 # Copies inside the slice send their prefix once.
                 _, once = np.unique(node, return_index=True)
                 keep = np.isin(owner, once)
-                at, owner, early = at[keep], owner[keep], early[keep]
+                at, owner, early, position = at[keep], owner[keep], early[keep], position[keep]
                 salts = (1 + excess[cell[at]] // SPLIT).astype(np.int32)
                 salt = (mix(node[owner].view(np.uint64)) % salts.astype(np.uint64)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(number[at].view(np.int64)), pa.array(salt), pa.array(salts), pa.array(place[owner]),
-                                                  pa.array(node[owner]), pa.array(sizes[owner].astype(np.int32)), pa.array(need[owner].astype(np.int32)), pa.array(early)],
+                                                  pa.array(node[owner]), pa.array(sizes[owner].astype(np.int32)), pa.array(need[owner].astype(np.int32)), pa.array(early),
+                                                  pa.array(position.astype(np.int32))],
                                                  [f.strip().split(" ")[0] for f in ENTRY_SCHEMA.split(",")])
 
     return documents.mapInArrow(rows, ENTRY_SCHEMA)
@@ -234,12 +259,8 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     """``doc_id, tie, n_shingles, node`` of each document, and links ``a, b`` between nodes."""
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _tie(F.col("text")).alias("tie"))
     measured = stored(measure(docs), "measured")
-    meta = measured.filter("cell IS NULL").select("doc_id", "tie", "n_shingles", "node")
-    cells = measured.filter("cell IS NOT NULL").groupBy("cell").agg(F.sum("seen").alias("seen")).toPandas()
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    sketch[cells["cell"].to_numpy()] = cells["seen"].to_numpy()
-
-    shared = stored(shared_entries(prefix_entries(docs, sketch, percent)), "shared")
+    meta = measured.filter("part IS NULL").select("doc_id", "tie", "n_shingles", "node")
+    shared = stored(shared_entries(prefix_entries(docs, sketch_of(measured), percent)), "shared")
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
     # Round 1: every node against its hubs; hubs of a split shingle against one of them.
@@ -255,14 +276,17 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     roots = stored(components(first), "roots")
 
     # Round 2: pairs across components.
-    placed = (shared.select("shingle", "node", "size", "need", "early").join(roots, "node", "left")
+    placed = (shared.select("shingle", "node", "size", "need", "early", "at").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("shingle")
     placed = stored(placed.join(mixed, "shingle", "left_semi"), "placed")
     # Of two sets the smaller one's shingle has to be early; sets far below the threshold then never meet.
-    left = placed.filter("early").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root")])
+    left = placed.filter("early").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root", "at")])
     smaller = (F.col("l_size") < F.col("size")) | ((F.col("l_size") == F.col("size")) & (F.col("l_node") < F.col("node")))
-    met = (left.join(placed, "shingle").filter((F.col("l_root") != F.col("root")) & smaller & fits(F.col("size"), F.col("l_size")))
+    # Both sets hold their shingles in one order, so where a shared one stands bounds how many they can share in all.
+    most = F.least("l_at", "at") + F.least(F.col("l_size") - F.col("l_at"), F.col("size") - F.col("at"))
+    enough = most * (100 + percent) >= (F.col("l_size") + F.col("size")) * percent
+    met = (left.join(placed, "shingle").filter((F.col("l_root") != F.col("root")) & smaller & fits(F.col("size"), F.col("l_size")) & enough)
            .groupBy(F.greatest("l_node", "node").alias("a"), F.least("l_node", "node").alias("b"))
            .agg(F.count(F.lit(1)).alias("shared"), F.max(F.least("need", "l_need")).alias("least"))
            .filter(F.col("shared") >= F.col("least")).select("a", "b"))
