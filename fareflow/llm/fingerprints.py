@@ -1,14 +1,19 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame operations only.
 
-A text is a set of words weighted by how often each occurs. For every sample j
-and word, two gamma(2, 1) variables r and c and a uniform b follow from hashes of
-the word and j. With t = floor(ln(weight) / r + b), the word's value is
-ln(c) - r * (t - b + 1); the word with the least value is the sample, together
-with its t. Two texts agree in a sample with the probability of their generalised
-Jaccard similarity: the sum of the smaller weights over the sum of the larger.
+A text is a set of words weighted by how often each occurs. A consistent weighted sample is a word
+and a place below its weight, (word, y), uniform over all such pairs and the same in every
+text that holds the chosen pair. Weights are whole numbers, so y is one of 0 to weight - 1. Every pair throws a dart per
+round: a hash of (word, y, round) says which of the samples it may become, and its rank. A
+sample is the dart of the first round that hits it, there the one of least rank. All pairs
+are equally likely, so two texts agree in a sample with the probability of their
+generalised Jaccard similarity: the sum of the smaller weights over the sum of the larger.
 
-A value is kept as one number, 42 bits of the value in order and 21 bits of a
-hash of (word, t), so a sample is a plain minimum that tasks combine early.
+A sample depends only on rounds up to the one that decides it, so how many a text plays
+changes no result. A text of W words plays enough for ``DARTS`` darts a sample; texts with a sample that none
+hit, a few in a hundred, play four times as many, until none is left. So the work is a hash per word and
+some per sample, not one per word and sample.
+
+A dart is kept as one number, round before rank, so a sample is a plain minimum that tasks combine early.
 
 The query compares a document with an edited text and with the next document, in
 descending order of doc_id; the last one's next is the first.
@@ -22,49 +27,55 @@ descending order of doc_id; the last one's next is the first.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import stored
+from fareflow.llm.common import WORD, stored
 
 SAMPLES = 128
-#: Samples drawn side by side in one aggregate; small enough for compiled code.
-SIDE_BY_SIDE = 8
+#: Samples side by side in one aggregate; small enough for compiled code.
+SIDE_BY_SIDE = 4
+#: Darts a sample that a text throws at first; all miss one with a chance of e^-8.
+DARTS = 8
+#: Bits of a dart's rank within its round.
+RANK_BITS = 40
 #: A task gets about this much text.
 TASK_BYTES = 4 << 20
 NOT_A_WORD = r"[\x20\x09-\x0D]+"
 LOWEST = -(2**63)
 
 
-def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys, samples``: an array of numbers per text with words; ``keys`` name a text.
+def throws(texts: DataFrame, keys: list[str], samples: int = SAMPLES, darts: int = DARTS) -> DataFrame:
+    """``keys, round, h``: the darts of all words of a text, no more than its words and ``samples * darts``."""
+    split = texts.select(*keys, F.split("text", NOT_A_WORD).alias("words"))
+    words = split.select(*keys, F.ceil(F.lit(samples * darts) / F.size("words")).cast("int").alias("rounds"), F.explode("words").alias("word")).filter("word <> ''")
+    weights = words.select(*keys, "rounds", F.xxhash64("word").alias("term")).groupBy(*keys, "rounds", "term").agg(F.count(F.lit(1)).alias("n"))
+    # One short array per word: place and round are read off its numbers.
+    thrown = weights.select(*keys, "rounds", "term", F.explode(F.sequence(F.lit(0), F.expr("CAST(n * rounds - 1 AS INT)"))).alias("x"))
+    thrown = thrown.select(*keys, "term", F.expr("CAST(x DIV rounds AS INT)").alias("y"), F.expr("x % rounds").alias("round"))
+    return thrown.select(*keys, "round", F.xxhash64("term", "y", "round").alias("h"))
+
+
+def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES, darts: int = DARTS) -> DataFrame:
+    """``keys, samples``: an array of numbers per text with words, null where no dart hit; ``keys`` name a text.
 
     Rows partitioned by (some of) the keys are not shuffled again.
     """
-    words = texts.select(*keys, F.explode(F.split("text", NOT_A_WORD)).alias("word")).filter("word <> ''")
-    weights = (words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("n")))
-    groups = -(-samples // SIDE_BY_SIDE)
-    rows = weights.select(*keys, "term", F.log(F.col("n").cast("double")).alias("ln_w"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"))
-    each = range(SIDE_BY_SIDE)
-    base = [*keys, "term", "ln_w", "g"]
-    # Three steps, so that every logarithm is taken once.
-    low, high = "(({h} & 4294967295) + 0.5D) / 4294967296D", "(shiftrightunsigned({h}, 32) + 0.5D) / 4294967296D"
-
-    def product(h):
-        return f"({low.format(h=h)}) * ({high.format(h=h)})"
-
-    rows = rows.select(*base, *[F.expr(f"xxhash64(term, g, {3 * j + i})").alias(f"h{j}_{i}") for j in each for i in range(3)])
-    rows = rows.select(*base, *[F.expr(x).alias(name) for j in each for x, name in (
-        (f"-ln({product(f'h{j}_0')})", f"r{j}"), (f"ln(-ln({product(f'h{j}_1')}))", f"c{j}"),
-        (f"(shiftrightunsigned(h{j}_2, 11) + 0.5D) / 9007199254740992D", f"b{j}"))])
-    rows = rows.select(*base, *[F.col(f"{v}{j}") for j in each for v in "rcb"], *[F.expr(f"floor(ln_w / r{j} + b{j})").alias(f"t{j}") for j in each])
-    drawn = rows.groupBy(*keys, "g").agg(*[F.expr(
-        f"min(shiftleft(CAST(floor((c{j} - r{j} * (t{j} - b{j} + 1) + 128) * 8589934592D) AS BIGINT), 21) | (xxhash64(term, t{j}) & 2097151))").alias(f"s{j}")
-        for j in each])
+    thrown = throws(texts, keys, samples, darts)
+    hits = thrown.select(*keys, F.pmod("h", F.lit(samples)).cast("int").alias("j"),
+                         F.shiftleft(F.col("round").cast("long"), RANK_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64("h"), 64 - RANK_BITS)).alias("dart"))
+    groups, each = -(-samples // SIDE_BY_SIDE), range(SIDE_BY_SIDE)
+    least = (hits.select(*keys, F.floor(F.col("j") / SIDE_BY_SIDE).cast("int").alias("g"), F.pmod("j", F.lit(SIDE_BY_SIDE)).alias("i"), "dart")
+             .groupBy(*keys, "g").agg(*[F.min(F.when(F.col("i") == i, F.col("dart"))).alias(f"s{i}") for i in each]))
+    number = lambda c: F.when(F.col(c).isNotNull(), F.shiftright(F.xxhash64(c), 32).cast("int"))
+    drawn = least.select(*keys, "g", F.array(*[number(f"s{i}") for i in each]).alias("s"))
     # The few rows of a text become one array, in the order of their groups.
-    one = drawn.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("g", F.array(*[f"s{j}" for j in each]).alias("s")))).alias("parts"))
-    flat = F.slice(F.flatten(F.transform("parts", lambda p: p["s"])), 1, samples)
-    return one.select(*keys, F.transform(flat, lambda x: F.xxhash64(x).bitwiseAND(F.lit(2**32 - 1))).alias("samples"))
+    one = drawn.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("g", "s"))).alias("parts"))
+    none = F.array_repeat(F.lit(None).cast("int"), SIDE_BY_SIDE)
+    parts = F.transform(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: F.coalesce(F.try_element_at("parts", g), none))
+    return one.select(*keys, F.slice(F.flatten(parts), 1, samples).alias("samples"))
 
 
 def likeness(a: str, b: str):
@@ -73,7 +84,7 @@ def likeness(a: str, b: str):
 
 
 def as_text(samples: str):
-    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(2**32 - 1)))), 8, "0")), "")
 
 
 def ring(ids: DataFrame) -> DataFrame:
@@ -117,15 +128,38 @@ def compare_neighbours(documents: DataFrame, samples: int = SAMPLES) -> DataFram
     n = F.char_length("text")
     edited = F.concat(F.left("text", n - half(n)), F.col("head"))
     both = own.join(heads, ["k", "tie"]).select("k", "tie", "rows", "next_k", "next_tie", "text", edited.alias("edited"))
-    versions = both.select("k", "tie", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
-    prints = fingerprints(versions.select("k", "tie", "x.v", "x.text"), ["k", "tie", "v"], samples)
-    # Both versions of a document in one row: still one partitioning.
-    none = F.array_repeat(F.lit(0).cast("long"), samples)
-    pair = prints.groupBy("k", "tie").agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
-    facts = both.select("k", "tie", "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
-                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"))
-    known = stored(facts.join(pair, ["k", "tie"], "left").withColumn("own", F.coalesce("own", none)).withColumn("changed", F.coalesce("changed", none)), "prints")
+    keys = ["k", "tie"]
+    facts = both.select(*keys, "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
+                        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "text", "edited")
+    drawn = stored(_open_texts(facts.join(_both(both, samples, DARTS), keys, "left"), samples), "prints")
+    darts, rounds = DARTS, [drawn.drop("text", "edited")]
+    rest = drawn.filter("text IS NOT NULL")
+    while not rest.isEmpty():
+        darts *= 4
+        again = rest.drop("own", "changed").repartition(tasks, *keys)
+        drawn = stored(_open_texts(again.join(_both(again, samples, darts), keys, "left"), samples), "prints")
+        rounds.append(drawn.drop("text", "edited"))
+        rest = drawn.filter("text IS NOT NULL")
+    known = reduce(DataFrame.unionByName, rounds).filter(~_lacks())
     after = known.select(F.col("k").alias("next_k"), F.col("tie").alias("next_tie"), F.col("own").alias("next_own"))
     return (known.join(after, ["next_k", "next_tie"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
             .select(F.when(F.col("k") != LOWEST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
                     likeness("own", "changed").alias("near_edited"), likeness("own", "next_own").alias("near_next")))
+
+
+def _both(texts: DataFrame, samples: int, darts: int) -> DataFrame:
+    """``k, tie, own, changed``: the samples of a document's text and of its edited text, in one row and still one partitioning."""
+    versions = texts.select("k", "tie", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
+    prints = fingerprints(versions.select("k", "tie", "x.v", "x.text"), ["k", "tie", "v"], samples, darts)
+    return prints.groupBy("k", "tie").agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
+
+
+def _open_texts(joined: DataFrame, samples: int) -> DataFrame:
+    """Texts without words get their fingerprint; ``text`` and ``edited`` stay only where a sample is null."""
+    of = lambda c, text: F.coalesce(c, F.array_repeat(F.when(F.col(text).rlike(WORD), F.lit(None)).otherwise(F.lit(0)).cast("int"), samples))
+    done = joined.withColumns({"own": of("own", "text"), "changed": of("changed", "edited")})
+    return done.withColumns({c: F.when(_lacks(), F.col(c)) for c in ("text", "edited")})
+
+
+def _lacks():
+    return F.exists(F.concat("own", "changed"), lambda x: x.isNull())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from fareflow.llm import fingerprints
 from fareflow.llm.queries import QUERIES
 from tests.conftest import SF
 from tests.llm.test_text_queries import jaccard, rows_of
@@ -19,3 +20,22 @@ def test_likeness_of_single_documents(spark):
     # At 0.5 a likeness of 128 samples has a deviation of 0.044, one of 32 samples 0.088.
     assert (sum(e * e for e in errors) / len(errors)) ** 0.5 < 0.055
     print("deviation", (sum(e * e for e in errors) / len(errors)) ** 0.5)
+
+
+def test_work_is_a_hash_per_word_and_some_per_sample(spark):
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (1, 7, 400, 5000)] + ["same " * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    thrown = {r.id: r["count"] for r in fingerprints.throws(df, ["id"]).groupBy("id").count().collect()}
+    for i, text in enumerate(texts):
+        assert thrown[i] <= len(text.split()) + fingerprints.SAMPLES * fingerprints.DARTS
+
+
+def test_samples_do_not_depend_on_the_darts_thrown_at_first(spark, monkeypatch):
+    """Texts left with an undecided sample play on: the result is that of a long game."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(-1, "one"), (-2, ""), (-3, None), (-4, "a a a b")], "doc_id long, text string"))
+    rows = lambda: sorted(map(tuple, fingerprints.compare_neighbours(docs).collect()))
+    want = rows()
+    assert len(want) == docs.count() and all(len(r[3]) == len(r[4]) == 8 * 128 for r in want)
+    monkeypatch.setattr(fingerprints, "DARTS", 2)
+    assert rows() == want
