@@ -469,9 +469,10 @@ def whole_events(spark, sf):
 
 
 def fields_out(df, *more):
-    got = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
-    names = F.array_join(F.array_sort(F.json_object_keys("value")), ",")
-    return df.select("event_id", got("extra"), got("big"), names.alias("fields"), *more)
+    """Some fields of ``value`` and the names of all, from one parse."""
+    read = df.select("*", events.once(F.struct(F.from_json("value", "map<string, string>").alias("got"))))
+    names = F.array_join(F.array_sort(F.map_keys("got")), ",")
+    return read.select("event_id", F.col("got.extra").alias("extra"), F.col("got.big").alias("big"), names.alias("fields"), *more)
 
 
 @case(WHOLE + """array_to_string(list_sort(g), ',') AS fields,
@@ -488,7 +489,7 @@ def upgrade_whole_events(spark, sf):
     WHEN n % 3 = 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') END AS timestamp FROM d""")
 def downgrade_whole_events(spark, sf):
     up = versions.upgrade_json(whole_events(spark, sf), now=F.expr(NOW))
-    return fields_out(versions.downgrade_json(up), F.get_json_object("value", "$.timestamp").alias("timestamp"))
+    return fields_out(versions.downgrade_json(up), F.col("got.timestamp").alias("timestamp"))
 
 
 @case(f"""SELECT CAST(day AS VARCHAR) AS day, 1 AS from_version, 2 AS to_version, count(*) AS upgraded_count

@@ -21,8 +21,7 @@ FIELDS = "__fields"
 def _opened(df: DataFrame, value: str) -> DataFrame:
     """Add the fields of the JSON object as a map; null where the text is no JSON object."""
     parsed = df.select("*", once(F.struct(F.try_parse_json(F.col(value)).alias("__v"))))
-    is_object = F.schema_of_variant("__v").startswith("OBJECT")
-    fields = F.when(is_object, F.col("__v")).cast("map<string, variant>")
+    fields = F.try_variant_get("__v", "$", "map<string, variant>")
     return parsed.select(*df.columns, once(F.struct(fields.alias(FIELDS))))
 
 
@@ -38,6 +37,11 @@ def _as_map(fields: dict[str, Column]) -> Column:
     return F.create_map(*[c for name, x in fields.items() for c in (F.lit(name), F.coalesce(x.cast("variant"), F.parse_json(F.lit("null"))))])
 
 
+def _if(needed: Column, fields: Column) -> Column:
+    """The fields where they are needed, else none; they are not computed elsewhere."""
+    return F.when(needed, fields).otherwise(F.create_map().cast("map<string, variant>"))
+
+
 def _without(*names: str) -> Column:
     return F.map_filter(FIELDS, lambda k, _: ~k.isin(*names))
 
@@ -68,9 +72,9 @@ def upgrade_json(df: DataFrame, value: str = "value", target: int = 2, now: Colu
     lat, lon = _get("lat", "double"), _get("lon", "double")
     kept = _without("timestamp", "event_time", "schema_version")
     missing = {"vehicle_type": F.lit(DEFAULT_VEHICLE), "battery_level": F.lit(DEFAULT_BATTERY), "zone_id": derive_zone(lat, lon)}
-    added = F.map_filter(_as_map(missing), lambda k, _: ~F.map_contains_key(FIELDS, k))
+    added = [_if(~_has(name), _as_map({name: x})) for name, x in missing.items()]
     always = _as_map({"event_time": normalize_event_time(epoch, _get("timestamp", "string"), now), "schema_version": F.lit(target)})
-    upgraded = _closed(F.map_concat(kept, added, always))
+    upgraded = _closed(F.map_concat(kept, *added, always))
     return (opened.withColumn("upgrade", outcome)
             .withColumn(value, F.when(F.col("upgrade") == "upgraded", upgraded).otherwise(F.col(value))).drop(FIELDS))
 
@@ -79,7 +83,7 @@ def downgrade_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Replace ``value`` by its version 1: the fields that version 2 brought go, ``event_time``
     becomes ``timestamp``. Text that is no JSON object stays as it is."""
     opened = _opened(df, value)
-    stamp = F.map_filter(F.create_map(F.lit("timestamp"), F.try_element_at(FIELDS, F.lit("event_time"))), lambda k, _: _has("event_time"))
+    stamp = _if(_has("event_time"), F.create_map(F.lit("timestamp"), F.try_element_at(FIELDS, F.lit("event_time"))))
     kept = F.when(_has("event_time"), _without(*V2_ONLY, "timestamp")).otherwise(_without(*V2_ONLY))
     down = _closed(F.map_concat(kept, stamp, _as_map({"schema_version": F.lit(1)})))
     return opened.withColumn(value, F.when(F.col(FIELDS).isNotNull(), down).otherwise(F.col(value))).drop(FIELDS)

@@ -57,3 +57,11 @@ def test_times_and_defaults(spark):
 def test_malformed_stays_in_downgrade(spark):
     df = spark.createDataFrame([("[1]",), (None,), ('{"a":1}',)], "value string")
     assert [r.value for r in versions.downgrade_json(df).collect()] == ["[1]", None, '{"a":1,"schema_version":1}']
+
+
+def test_fields_to_add_are_computed_only_where_missing(spark):
+    """No lambda over maps holds the new fields: those run interpreted and compute all of them for every row."""
+    df = spark.createDataFrame([('{"a":1}',)], "value string")
+    down = versions.downgrade_json(versions.upgrade_json(df, now=F.expr(NOW)))
+    plan = down._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_filter(map(" not in plan and "schema_of_variant(__v" not in plan
