@@ -42,8 +42,10 @@ from fareflow.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS = 12
-#: 64-bit words of a line's sketch.
-CELLS = 8
+#: 64-bit words of a line's sketch; twice as many tell 0.77 from 0.8 for lines of some 500 bytes.
+CELLS = 16
+#: Words side by side in one aggregate; small enough for compiled code.
+SIDE_BY_SIDE = 8
 #: Lines of a bucket that one task compares with the others of it.
 SPLIT = 1000
 NO_ID = 2**63 - 1
@@ -115,8 +117,11 @@ def sketches(lines: DataFrame) -> DataFrame:
     each = raw.select("lid", "raw", F.explode(F.sequence(F.lit(1), F.length("raw") - (SHINGLE - 1))).alias("p"))
     hashed = each.select("lid", shingle().alias("h")).distinct()
     bit = F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 AS int))")
-    return hashed.groupBy("lid").agg(F.count(F.lit(1)).alias("size"), *[
-        F.coalesce(F.bit_xor(F.when(F.pmod("h", F.lit(CELLS)) == i, bit)), F.lit(0)).alias(f"bits{i}") for i in range(CELLS)])
+    cell, groups = F.pmod("h", F.lit(CELLS)), range(CELLS // SIDE_BY_SIDE)
+    parts = (hashed.select("lid", F.floor(cell / SIDE_BY_SIDE).cast("int").alias("g"), F.pmod("h", F.lit(SIDE_BY_SIDE)).alias("i"), bit.alias("bit"))
+             .groupBy("lid", "g").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.when(F.col("i") == i, F.col("bit"))).alias(f"w{i}") for i in range(SIDE_BY_SIDE)]))
+    return parts.groupBy("lid").agg(F.sum("n").alias("size"), *[
+        F.coalesce(F.max(F.when(F.col("g") == g, F.col(f"w{i}"))), F.lit(0)).alias(f"bits{g * SIDE_BY_SIDE + i}") for g in groups for i in range(SIDE_BY_SIDE)])
 
 
 def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int) -> DataFrame:

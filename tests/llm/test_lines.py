@@ -97,3 +97,18 @@ def test_short_and_blank_lines(spark):
     assert {r.doc_id: (r.n_lines, r.removed) for r in lines.line_report(docs).collect()} == {
         1: (2, ""), 2: (2, "0"), 3: (2, "1"), 4: (0, "")}
     assert {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}[2] == "\t\t\n \n\ny"
+
+
+def test_pairs_well_below_the_threshold_never_become_rows(spark):
+    """Lines of one bucket, most at 0.72 to one another, the few whose marks lie close nearer: sketches must rule the others out in the join."""
+    r = random.Random(4)
+    base, texts = letters(r, 700), []
+    for n in range(40):
+        text = list(base)
+        for step in range(7):
+            text[8 + 96 * step + 2 * n] = "?"
+        texts.append("".join(text))
+    found = spark.createDataFrame(list(enumerate(texts)), "lid long, line string")
+    buckets = found.selectExpr("1L AS key", "lid", "-1L AS hub")
+    roots = spark.createDataFrame([], "node long, root long")
+    assert lines.across(buckets, roots, found, 80).count() < 0.2 * len(texts) * (len(texts) - 1) / 2
