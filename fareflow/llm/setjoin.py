@@ -15,9 +15,12 @@ links between nodes:
    near copies through its common origin.
 2. Where a prefix shingle still holds nodes of different components, pairs across
    components are compared, whoever the hub was, unless the shingle's places in both
-   sets rule the pair out. Links inside a component cannot
+   sets or the sets' parities rule the pair out. Links inside a component cannot
    change it, so no pair is lost for the components.
 
+A set's parities are one bit per hash cell. Two sets that differ in d shingles differ in no
+more than d bits, so a pair that they rule out is below the threshold.
+
 Shingle frequencies come from counts over all documents in 2^``SKETCH_BITS``
 hashed cells. They order shingles and estimate cost; any order gives the same
 result. Shingles and sets are compared as 64-bit numbers.
@@ -33,6 +36,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -51,12 +56,15 @@ SKETCH_BITS = 21
 #: Cells that travel as one row.
 CELLS = 1 << 13
 LONGEST = 4
+#: 64-bit words of a set's parities.
+PARITY_WORDS = 8
+PARITIES = [f"bits{i}" for i in range(PARITY_WORDS)]
 #: Cost of verifying a pair against that of scanning one prefix entry.
 VERIFY = 8.0
 #: A shingle expected in more entries than this is split.
 SPLIT = 100_000
 
-META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, part int, seen binary"
+META_SCHEMA = "doc_id long, tie long, n_shingles long, node long, part int, seen binary, " + ", ".join(f"{c} long" for c in PARITIES)
 ENTRY_SCHEMA = "shingle long, salt int, salts int, place int, node long, size int, need int, early boolean, at int"
 
 
@@ -85,12 +93,25 @@ def node_of(doc: np.ndarray, number: np.ndarray, sizes: np.ndarray) -> np.ndarra
     return mix(total + sizes.astype(np.uint64)).view(np.int64)
 
 
+def parities(doc: np.ndarray, number: np.ndarray, n: int) -> list[np.ndarray]:
+    """For each of ``n`` sets the parities of its shingles, a word per array."""
+    wide = 64 * PARITY_WORDS
+    cell = (mix(number) % np.uint64(wide)).astype(np.int64)
+    odd = np.zeros((n, PARITY_WORDS), np.int64)
+    for start in range(0, n, 4096):  # a cell is a number of 8 bytes while it is counted
+        a, b = np.searchsorted(doc, [start, start + 4096])
+        rows = min(4096, n - start)
+        counts = np.bincount((doc[a:b].astype(np.int64) - start) * wide + cell[a:b], minlength=rows * wide)
+        odd[start:start + rows] = np.packbits((counts & 1).astype(bool)).reshape(rows, -1).view(np.int64)
+    return list(odd.T)
+
+
 def measure(documents: DataFrame) -> DataFrame:
-    """Per document its set's size and number; per task the sketch of its shingles (rows with ``part``)."""
+    """Per document its set's size, number and parities; per task the sketch of its shingles (rows with ``part``)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
 
-        names = ["doc_id", "tie", "n_shingles", "node", "part", "seen"]
+        names = ["doc_id", "tie", "n_shingles", "node", "part", "seen", *PARITIES]
 
         for batch in batches:
             for part in slices(batch):
@@ -98,11 +119,13 @@ def measure(documents: DataFrame) -> DataFrame:
                 sketch += np.bincount((number & np.uint64(len(sketch) - 1)).astype(np.int64), minlength=len(sketch))
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("tie"), pa.array(sizes, pa.int64()), pa.array(node_of(doc, number, sizes)),
-                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                                                  pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                                                  *[pa.array(np.ascontiguousarray(w)) for w in parities(doc, number, n)]], names)
         parts = sketch.reshape(-1, CELLS)
         used = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays([*[pa.nulls(len(used), pa.int64())] * 4, pa.array(used, pa.int32()),
-                                          pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary())], names)
+                                          pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary()),
+                                          *[pa.nulls(len(used), pa.int64())] * PARITY_WORDS], names)
 
     return documents.mapInArrow(rows, META_SCHEMA)
 
@@ -279,14 +302,18 @@ def links(documents: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, Data
     placed = (shared.select("shingle", "node", "size", "need", "early", "at").join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))
     mixed = placed.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("shingle")
-    placed = stored(placed.join(mixed, "shingle", "left_semi"), "placed")
+    of_node = measured.filter("part IS NULL").groupBy("node").agg(*[F.max(c).alias(c) for c in PARITIES])
+    placed = stored(placed.join(mixed, "shingle", "left_semi").join(of_node, "node"), "placed")
     # Of two sets the smaller one's shingle has to be early; sets far below the threshold then never meet.
-    left = placed.filter("early").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root", "at")])
+    left = placed.filter("early").select("shingle", *[F.col(c).alias(f"l_{c}") for c in ("node", "size", "need", "root", "at", *PARITIES)])
     smaller = (F.col("l_size") < F.col("size")) | ((F.col("l_size") == F.col("size")) & (F.col("l_node") < F.col("node")))
     # Both sets hold their shingles in one order, so where a shared one stands bounds how many they can share in all.
     most = F.least("l_at", "at") + F.least(F.col("l_size") - F.col("l_at"), F.col("size") - F.col("at"))
     enough = most * (100 + percent) >= (F.col("l_size") + F.col("size")) * percent
-    met = (left.join(placed, "shingle").filter((F.col("l_root") != F.col("root")) & smaller & fits(F.col("size"), F.col("l_size")) & enough)
+    # Of sets at the threshold, at most (100 - percent) / (100 + percent) of the shingles are in one of them only.
+    differ = reduce(add, [F.bit_count(F.col(f"l_{c}").bitwiseXOR(F.col(c))) for c in PARITIES])
+    alike = differ * (100 + percent) <= (F.col("l_size") + F.col("size")) * (100 - percent)
+    met = (left.join(placed, "shingle").filter((F.col("l_root") != F.col("root")) & smaller & fits(F.col("size"), F.col("l_size")) & enough & alike)
            .groupBy(F.greatest("l_node", "node").alias("a"), F.least("l_node", "node").alias("b"))
            .agg(F.count(F.lit(1)).alias("shared"), F.max(F.least("need", "l_need")).alias("least"))
            .filter(F.col("shared") >= F.col("least")).select("a", "b"))
