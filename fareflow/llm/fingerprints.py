@@ -16,7 +16,8 @@ some per sample, not one per word and sample.
 A dart is kept as one number, round before rank, so a sample is a plain minimum that tasks combine early.
 
 The query compares a document with an edited text and with the next document, in
-descending order of doc_id; the last one's next is the first.
+descending order of doc_id; the last one's next is the first. Texts are shuffled once, in runs of
+consecutive documents, so a document's next one stands beside it.
 
 * null or empty text: no words; all such texts have one fingerprint, likeness 1
   among themselves and 0 to others.
@@ -87,71 +88,77 @@ def as_text(samples: str):
     return F.array_join(F.transform(samples, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(2**32 - 1)))), 8, "0")), "")
 
 
-def ring(ids: DataFrame) -> DataFrame:
-    """``k, tie, rows`` with the next key in descending order, and the key and length this one is next to,
-    from ``k, tie, n, rows``.
+def dealt(docs: DataFrame, tasks: int) -> DataFrame:
+    """``chunk, ghost, place, tie, text`` from ``place, tie, text``: about ``tasks`` runs of consecutive documents.
 
-    Ids are range partitioned and written; each range is ordered by itself, and
-    one row per range joins the ranges.
+    The first document of a chunk also ends the chunk before as its ghost, the first of
+    all that of the last one; so each document's next is in its own chunk.
     """
-    n = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = stored(ids.repartitionByRange(n, F.col("k").desc(), F.col("tie")).withColumn("part", F.spark_partition_id()), "ranges")
-    key = F.struct("k", "tie", "n")
-    order = [F.col("k").desc(), F.col("tie")]
-    inner = Window.partitionBy("part").orderBy(*order)
-    borders = ranges.groupBy("part").agg(F.max(F.struct("k", (-F.col("tie").cast("decimal(20,0)")).alias("t"), "tie", "n")).alias("f"),
-                                         F.min(F.struct("k", (-F.col("tie").cast("decimal(20,0)")).alias("t"), "tie", "n")).alias("l"))
-    ends = lambda c: F.struct(F.col(f"{c}.k").alias("k"), F.col(f"{c}.tie").alias("tie"), F.col(f"{c}.n").alias("n"))
-    line = Window.orderBy("part")  # one row per range
-    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    borders = borders.select(
-        "part", F.coalesce(F.lead(ends("f")).over(line), F.first(ends("f")).over(whole)).alias("after"),
-        F.coalesce(F.lag(ends("l")).over(line), F.last(ends("l")).over(whole)).alias("before"))
-    linked = ranges.select("*", F.lead(key).over(inner).alias("lead"), F.lag(key).over(inner).alias("lag")).join(borders, "part")
-    following, preceding = F.coalesce("lead", "after"), F.coalesce("lag", "before")
-    return stored(linked.select("k", "tie", "rows", following["k"].alias("next_k"), following["tie"].alias("next_tie"),
-                                preceding["k"].alias("prev_k"), preceding["tie"].alias("prev_tie"), preceding["n"].alias("prev_n")), "ring")
+    ranges = docs.select("place", "tie").repartitionByRange(tasks, "place", "tie").groupBy(F.spark_partition_id().alias("part"))
+    # One pair of numbers per task comes to the driver.
+    firsts = sorted(map(tuple, ranges.agg(F.min(F.struct("place", "tie")).alias("f")).select("f.*").collect())) or [(0, 0)]
+    places, ties = (F.split(F.lit(",".join(str(f[i]) for f in firsts)), ",").cast("array<long>") for i in range(2))
+    same = lambda i: F.get(places, i) == F.col("place")
+    begun = lambda i: (F.get(places, i) < F.col("place")) | (same(i) & (F.get(ties, i) <= F.col("tie")))
+    halving = F.array(*[F.lit(1 << i) for i in reversed(range(len(firsts).bit_length()))])
+    found = docs.withColumn("own", F.coalesce(F.aggregate(halving, F.lit(0), lambda at, step: F.when(begun(at + step), at + step).otherwise(at)), F.lit(0)))
+    own = F.struct(F.col("own").alias("chunk"), F.lit(0).alias("ghost"))
+    ghost = F.struct(F.when(F.col("own") > 0, F.col("own") - 1).otherwise(len(firsts) - 1).alias("chunk"), F.lit(1).alias("ghost"))
+    first = same(F.col("own")) & (F.get(ties, F.col("own")) == F.col("tie"))
+    return (found.withColumn("in", F.explode(F.when(first, F.array(own, ghost)).otherwise(F.array(own))))
+            .select("in.chunk", "in.ghost", "place", "tie", "text"))
 
 
 def compare_neighbours(documents: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    docs = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)).alias("k"), F.xxhash64(text).alias("tie"), text.alias("text"))
+    # Places ascend where ids descend.
+    place = F.bitwise_not(F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)))
+    docs = documents.select(place.alias("place"), F.xxhash64(text).alias("tie"), text.alias("text"))
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * total // TASK_BYTES))
-    order = ring(docs.groupBy("k", "tie").agg(F.first(F.char_length("text").cast("long")).alias("n"), F.count(F.lit(1)).alias("rows")))
+    keys = ["chunk", "ghost", "place", "tie"]
+    in_order = Window.partitionBy("chunk").orderBy("ghost", "place", "tie")
     # One exchange of the texts serves both uses below, as neither needs more columns than the other.
-    own = docs.repartition(tasks, "k", "tie").groupBy("k", "tie").agg(F.first("text").alias("text")).join(order, ["k", "tie"])
-    half = lambda n: F.floor(n / 2).cast("int")
-    heads = (own.select(F.col("prev_k").alias("k"), F.col("prev_tie").alias("tie"), F.left("text", half(F.col("prev_n"))).alias("head"))
-             .repartition(tasks, "k", "tie"))
+    own = dealt(docs, tasks).repartition(tasks, "chunk").groupBy(*keys).agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("rows"))
     n = F.char_length("text")
-    edited = F.concat(F.left("text", n - half(n)), F.col("head"))
-    both = own.join(heads, ["k", "tie"]).select("k", "tie", "rows", "next_k", "next_tie", "text", edited.alias("edited"))
-    keys = ["k", "tie"]
-    facts = both.select(*keys, "rows", "next_k", "next_tie", F.char_length("text").cast("long").alias("n_chars"),
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.left("text", n - half), F.left(F.coalesce(F.lead("text").over(in_order), F.lit("")), half))
+    both = own.select(*keys, "rows", "text", edited.alias("edited"))
+    facts = both.select(*keys, "rows", F.char_length("text").cast("long").alias("n_chars"),
                         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "text", "edited")
-    drawn = stored(_open_texts(facts.join(_both(both, samples, DARTS), keys, "left"), samples), "prints")
+    drawn = _stored_by_chunk(_open_texts(facts.join(_both(both, keys, samples, DARTS), keys, "left"), samples), "prints")
     darts, rounds = DARTS, [drawn.drop("text", "edited")]
     rest = drawn.filter("text IS NOT NULL")
     while not rest.isEmpty():
         darts *= 4
         again = rest.drop("own", "changed").repartition(tasks, *keys)
-        drawn = stored(_open_texts(again.join(_both(again, samples, darts), keys, "left"), samples), "prints")
+        drawn = stored(_open_texts(again.join(_both(again, keys, samples, darts), keys, "left"), samples), "prints")
         rounds.append(drawn.drop("text", "edited"))
         rest = drawn.filter("text IS NOT NULL")
     known = reduce(DataFrame.unionByName, rounds).filter(~_lacks())
-    after = known.select(F.col("k").alias("next_k"), F.col("tie").alias("next_tie"), F.col("own").alias("next_own"))
-    return (known.join(after, ["next_k", "next_tie"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-            .select(F.when(F.col("k") != LOWEST, F.col("k")).alias("doc_id"), "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
+    beside = known.withColumn("next_own", F.lead("own").over(in_order)).filter("ghost = 0").withColumn("doc_id", F.bitwise_not("place"))
+    return (beside.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+            .select(F.when(F.col("doc_id") != LOWEST, F.col("doc_id")).alias("doc_id"), "n_chars", "edited_sha256", as_text("own").alias("fingerprint"), as_text("changed").alias("edited_fingerprint"),
                     likeness("own", "changed").alias("near_edited"), likeness("own", "next_own").alias("near_next")))
 
 
-def _both(texts: DataFrame, samples: int, darts: int) -> DataFrame:
-    """``k, tie, own, changed``: the samples of a document's text and of its edited text, in one row and still one partitioning."""
-    versions = texts.select("k", "tie", F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
-    prints = fingerprints(versions.select("k", "tie", "x.v", "x.text"), ["k", "tie", "v"], samples, darts)
-    return prints.groupBy("k", "tie").agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
+def _stored_by_chunk(df: DataFrame, label: str) -> DataFrame:
+    """Stored; a join of rows that lie by chunk, on more keys than that, moves none of them."""
+    conf, name = df.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(name, "true")
+    conf.set(name, "false")
+    try:
+        return stored(df, label)
+    finally:
+        conf.set(name, before)
+
+
+def _both(texts: DataFrame, keys: list[str], samples: int, darts: int) -> DataFrame:
+    """``keys, own, changed``: the samples of a document's text and of its edited text, in one row and still one partitioning."""
+    versions = texts.select(*keys, F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("text")), F.struct(F.lit(1).alias("v"), F.col("edited").alias("text")))).alias("x"))
+    prints = fingerprints(versions.select(*keys, "x.v", "x.text"), [*keys, "v"], samples, darts)
+    return prints.groupBy(*keys).agg(F.max(F.when(F.col("v") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("v") == 1, F.col("samples"))).alias("changed"))
 
 
 def _open_texts(joined: DataFrame, samples: int) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from fareflow.llm import fingerprints
 from fareflow.llm.queries import QUERIES
 from tests.conftest import SF
@@ -39,3 +41,41 @@ def test_samples_do_not_depend_on_the_darts_thrown_at_first(spark, monkeypatch):
     assert len(want) == docs.count() and all(len(r[3]) == len(r[4]) == 8 * 128 for r in want)
     monkeypatch.setattr(fingerprints, "DARTS", 2)
     assert rows() == want
+
+
+def test_neighbours_across_chunks(spark, monkeypatch):
+    """Many small chunks: the next document may end the chunk or, of the last one, be the first; ids may be equal, null or extreme."""
+    ids = [*range(0, 60, 3), 7, 7, None, None, -(2**63), 2**63 - 1, 5, 5]
+    rows = [(k, f"{k} " + " ".join(f"w{i * j % 13}" for j in range(i % 9 + 1))) for i, k in enumerate(ids)]
+    rows += [(5, rows[-1][1]), (8, ""), (10, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, fingerprints.compare_neighbours(docs).collect()))
+    monkeypatch.setattr(fingerprints, "TASK_BYTES", 40)
+    got = fingerprints.compare_neighbours(docs).collect()
+    assert sorted(map(str, got)) == want and len(got) == len(rows)
+    edited = lambda a, b: hashlib.sha256((a[:len(a) - len(a) // 2] + b[:len(a) // 2]).encode()).hexdigest()
+    order = sorted(rows, key=lambda r: r[0] if r[0] is not None else -(2**63), reverse=True)
+    texts, found = [t or "" for _, t in order], {r.doc_id: r for r in got}
+    for i, (k, _) in enumerate(order[:-3]):
+        if [x for x, _ in order].count(k) == 1 and [x for x, _ in order].count(order[i + 1][0]) == 1:
+            assert found[k].edited_sha256 == edited(texts[i], texts[i + 1])
+    # The three of the smallest id stand in any order; the last of them is followed by the largest id.
+    assert {r.edited_sha256 for r in got if r.doc_id is None} & {edited(t, texts[0]) for t in texts[-3:]}
+
+
+def test_texts_are_shuffled_once(spark, monkeypatch):
+    """The plan names the exchange of the texts once for each of its two uses, and nothing else in it moves a text."""
+    plans, real = {}, fingerprints.stored
+
+    def watched(df, label):
+        plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+        return real(df, label)
+
+    monkeypatch.setattr(fingerprints, "stored", watched)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with more rows than are broadcast
+    try:
+        fingerprints.compare_neighbours(spark.read.parquet(f"{SF}/documents.parquet"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans["prints"].count("Exchange") == plans["prints"].count("REPARTITION_BY_NUM") == 2
