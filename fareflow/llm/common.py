@@ -15,14 +15,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, conf: dict[str, str] | None = None) -> DataFrame:
     """The rows of ``df`` written once to the shared folder and read from there.
 
     Cuts the lineage; a lost executor costs no recomputation of what came before.
+    ``conf`` holds while they are written.
     """
     spark = df.sparkSession
     path = shared_dir(spark, label)
-    df.write.parquet(path)
+    before = {key: spark.conf.get(key, None) for key in conf or {}}
+    try:
+        for key, value in (conf or {}).items():
+            spark.conf.set(key, value)
+        df.write.parquet(path)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

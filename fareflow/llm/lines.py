@@ -49,6 +49,10 @@ SIDE_BY_SIDE = 8
 #: Lines of a bucket that one task compares with the others of it.
 SPLIT = 1000
 NO_ID = 2**63 - 1
+#: A signature's few groups per line fit the compiled map before the general one; a group per
+#: shingle does not, and looking there first costs as much again.
+FEW_GROUPS = {"spark.sql.codegen.aggregate.fastHashMap.capacityBit": "20"}
+MANY_GROUPS = {"spark.sql.codegen.aggregate.map.twolevel.enabled": "false"}
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int)
     # A bucket's hub has met all its lines.
     held = stored(placed.filter("lid <> hub").join(mixed, "key").select("key", "salts", "lid", "root"), "mixed")
     sketch = sketches(lines.join(held.select("lid").distinct(), "lid", "left_semi"))
-    held = stored(held.join(sketch, "lid"), "held")
+    held = stored(held.join(sketch, "lid"), "held", MANY_GROUPS)
     mine = ["lid", "root", "size", *[f"bits{i}" for i in range(CELLS)]]
     left = held.select("key", F.pmod(F.xxhash64("lid"), F.col("salts")).cast("int").alias("salt"), *[F.col(c).alias(f"l_{c}") for c in mine])
     right = held.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *mine)
@@ -148,7 +152,7 @@ def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int)
 
 def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``node, root`` for lines that are near another one."""
-    active = stored(candidates(documents), "lines")
+    active = stored(candidates(documents), "lines", FEW_GROUPS)
     line_a = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
     line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
     buckets = stored(with_hubs(active.select("lid", F.explode("keys").alias("key"))), "buckets")

@@ -112,3 +112,11 @@ def test_pairs_well_below_the_threshold_never_become_rows(spark):
     buckets = found.selectExpr("1L AS key", "lid", "-1L AS hub")
     roots = spark.createDataFrame([], "node long, root long")
     assert lines.across(buckets, roots, found, 80).count() < 0.2 * len(texts) * (len(texts) - 1) / 2
+
+
+def test_settings_hold_only_while_a_table_is_written(spark):
+    """Signatures and sketches are written under map settings of their own, which are gone afterwards."""
+    names = [*lines.FEW_GROUPS, *lines.MANY_GROUPS]
+    before = [spark.conf.get(n, None) for n in names]
+    assert lines.stored(spark.range(3), "three", lines.FEW_GROUPS | lines.MANY_GROUPS).count() == 3
+    assert [spark.conf.get(n, None) for n in names] == before
