@@ -42,13 +42,13 @@ from fareflow.llm.components import components
 SHINGLE = 8
 PERCENT = 80
 BANDS = 12
-#: 64-bit words of a line's sketch; twice as many tell 0.77 from 0.8 for lines of some 500 bytes.
+#: 64-bit words of a line's sketch, a power of two; twice as many tell 0.77 from 0.8 for lines of some 500 bytes.
 CELLS = 16
-#: Words side by side in one aggregate; small enough for compiled code.
-SIDE_BY_SIDE = 8
 #: Lines of a bucket that one task compares with the others of it.
 SPLIT = 1000
 NO_ID = 2**63 - 1
+#: What a blank line consists of.
+WHITE = " \t\n\x0b\f\r"
 #: A signature's few groups per line fit the compiled map before the general one; a group per
 #: shingle does not, and looking there first costs as much again.
 FEW_GROUPS = {"spark.sql.codegen.aggregate.fastHashMap.capacityBit": "20"}
@@ -60,7 +60,7 @@ def occurrences(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return (documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("k"), F.xxhash64(text).alias("tie"),
                              F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-            .filter(F.col("line").rlike(r"\S"))
+            .filter(F.octet_length(F.ltrim("line", F.lit(WHITE))) > 0)
             .withColumn("lid", F.xxhash64("line")))
 
 
@@ -73,38 +73,39 @@ def bands(lines: DataFrame) -> DataFrame:
     raw = lines.select("lid", F.col("line").cast("binary").alias("raw"))
     each = raw.select("lid", "raw", F.explode(F.sequence(F.lit(1), F.length("raw") - (SHINGLE - 1))).alias("p"))
     hashed = each.select("lid", shingle().alias("h"))
-    placed = hashed.select("lid", "h", F.pmod("h", F.lit(BANDS)).alias("band"), F.shiftright("h", 58).bitwiseAND(F.lit(3)).alias("bin"))
+    # pmod without its branch, which goes either way for each shingle.
+    rest = F.col("h") % BANDS
+    band = (rest + F.shiftright(rest, 63).bitwiseAND(F.lit(BANDS))).cast("int")
+    placed = hashed.select("lid", "h", band.alias("band"), F.shiftright("h", 58).bitwiseAND(F.lit(3)).alias("bin"))
     least = placed.groupBy("lid", "band").agg(*[F.min(F.when(F.col("bin") == i, F.col("h"))).alias(f"m{i}") for i in range(4)])
     return least.select("lid", F.xxhash64("band", *[F.coalesce(f"m{i}", F.lit(0)) for i in range(4)]).alias("key"))
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """``lid, line, keys``: the different lines that share a band, with their buckets."""
+    """``lid, line, keys, central``: the different lines that share a band, with their buckets and the lines these hold together."""
     found = occurrences(documents).filter(F.octet_length("line") >= SHINGLE)
     # One line per task first, so that a line that fills a third of the input is a row per task.
     lines = found.groupBy("lid").agg(F.first("line").alias("line"))
-    bucket = Window.partitionBy("key").orderBy("lid")
-    shared = (bands(lines).withColumn("before", F.lag("lid").over(bucket)).withColumn("after", F.lead("lid").over(bucket))
-              .filter("before IS NOT NULL OR after IS NOT NULL"))
-    return lines.join(shared.groupBy("lid").agg(F.collect_list("key").alias("keys")), "lid")
+    # A count over the bucket needs no order of its lines and gives what makes a line central.
+    shared = bands(lines).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1")
+    return lines.join(shared.groupBy("lid").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("central")), "lid")
 
 
 def with_hubs(buckets: DataFrame) -> DataFrame:
-    """``key, lid, hub``: each bucket's most central line, the one whose buckets hold the most lines.
+    """``key, lid, hub`` of ``key, lid, central``: each bucket's most central line, the one whose buckets hold the most lines.
 
     A line from which many others were copied shares a band with each of them and
     becomes their hub, though they may be too far from one another.
     """
-    held = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    central = buckets.join(held, "key").groupBy("lid").agg(F.sum("n").alias("central"))
-    best = buckets.join(central, "lid").groupBy("key").agg(F.max(F.struct("central", "lid")).alias("best"))
-    return buckets.join(best.select("key", F.col("best.lid").alias("hub")), "key")
+    best = buckets.groupBy("key").agg(F.max(F.struct("central", "lid")).alias("best"))
+    return buckets.select("key", "lid").join(best.select("key", F.col("best.lid").alias("hub")), "key")
 
 
 def shingles_of(line: str):
     """All shingles of a line, repeated ones too."""
-    raw = F.col(line).cast("binary")
-    return F.transform(F.sequence(F.lit(1), F.length(raw) - (SHINGLE - 1)), lambda p: F.xxhash64(raw.substr(p, F.lit(SHINGLE))))
+    # The bytes are a variable of the outer function: as a column they would be copied out of the row for each shingle.
+    each = lambda raw: F.transform(F.sequence(F.lit(1), F.length(raw) - (SHINGLE - 1)), lambda p: F.xxhash64(raw.substr(p, F.lit(SHINGLE))))
+    return F.transform(F.array(F.col(line).cast("binary")), each)[0]
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
@@ -117,15 +118,13 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
 
 def sketches(lines: DataFrame) -> DataFrame:
     """``lid, size, bits``: how many different shingles a line has, and their parity in ``CELLS`` x 64 cells."""
-    raw = lines.select("lid", F.col("line").cast("binary").alias("raw"))
-    each = raw.select("lid", "raw", F.explode(F.sequence(F.lit(1), F.length("raw") - (SHINGLE - 1))).alias("p"))
-    hashed = each.select("lid", shingle().alias("h")).distinct()
+    each = lines.select("lid", F.array_distinct(shingles_of("line")).alias("all"))
+    hashed = each.select("lid", F.explode_outer("all").alias("h"))
     bit = F.expr("shiftleft(1L, cast(shiftright(h, 32) & 63 AS int))")
-    cell, groups = F.pmod("h", F.lit(CELLS)), range(CELLS // SIDE_BY_SIDE)
-    parts = (hashed.select("lid", F.floor(cell / SIDE_BY_SIDE).cast("int").alias("g"), F.pmod("h", F.lit(SIDE_BY_SIDE)).alias("i"), bit.alias("bit"))
-             .groupBy("lid", "g").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.when(F.col("i") == i, F.col("bit"))).alias(f"w{i}") for i in range(SIDE_BY_SIDE)]))
-    return parts.groupBy("lid").agg(F.sum("n").alias("size"), *[
-        F.coalesce(F.max(F.when(F.col("g") == g, F.col(f"w{i}"))), F.lit(0)).alias(f"bits{g * SIDE_BY_SIDE + i}") for g in groups for i in range(SIDE_BY_SIDE)])
+    # One word per group; with more of them side by side each shingle would go through all.
+    parts = (hashed.select("lid", F.col("h").bitwiseAND(F.lit(CELLS - 1)).cast("int").alias("i"), bit.alias("bit"))
+             .groupBy("lid", "i").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("bit").alias("w")))
+    return parts.groupBy("lid").agg(F.sum("n").alias("size"), *[F.coalesce(F.max(F.when(F.col("i") == i, F.col("w"))), F.lit(0)).alias(f"bits{i}") for i in range(CELLS)])
 
 
 def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int) -> DataFrame:
@@ -136,7 +135,7 @@ def across(buckets: DataFrame, roots: DataFrame, lines: DataFrame, percent: int)
     # A bucket's hub has met all its lines.
     held = stored(placed.filter("lid <> hub").join(mixed, "key").select("key", "salts", "lid", "root"), "mixed")
     sketch = sketches(lines.join(held.select("lid").distinct(), "lid", "left_semi"))
-    held = stored(held.join(sketch, "lid"), "held", MANY_GROUPS)
+    held = stored(held.join(sketch, "lid"), "held", FEW_GROUPS)
     mine = ["lid", "root", "size", *[f"bits{i}" for i in range(CELLS)]]
     left = held.select("key", F.pmod(F.xxhash64("lid"), F.col("salts")).cast("int").alias("salt"), *[F.col(c).alias(f"l_{c}") for c in mine])
     right = held.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), *mine)
@@ -155,7 +154,7 @@ def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     active = stored(candidates(documents), "lines", FEW_GROUPS)
     line_a = active.select(F.col("lid").alias("a"), F.col("line").alias("line_a"))
     line_b = active.select(F.col("lid").alias("b"), F.col("line").alias("line_b"))
-    buckets = stored(with_hubs(active.select("lid", F.explode("keys").alias("key"))), "buckets")
+    buckets = stored(with_hubs(active.select("lid", "central", F.explode("keys").alias("key"))), "buckets")
     near = lambda pairs: stored(verified(pairs.join(line_a, "a").join(line_b, "b"), percent), "links")
     first = near(buckets.filter("lid <> hub").select(F.col("lid").alias("a"), F.col("hub").alias("b")).distinct())
     second = near(across(buckets, stored(components(first), "roots"), active, percent))
@@ -165,14 +164,17 @@ def same_lines(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
 def repeats(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``k, tie, n_lines, removed``: per document with lines, how many, and the numbers of those removed."""
     roots = same_lines(documents, percent)
-    spots = stored(occurrences(documents).select("k", "tie", "line_no", "lid").distinct(), "spots")
-    grouped = stored(spots.join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid")), "grouped")
-    # Only lines that occur again, or near which another does, are looked up.
-    first = grouped.groupBy("root").agg(F.min(F.struct("k", "tie", "line_no")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    extra = grouped.join(first, "root", "left").select(
-        "k", "tie", "line_no", (F.col("n").isNotNull() & (F.col("first") != F.struct("k", "tie", "line_no"))).alias("again"))
-    return extra.groupBy("k", "tie").agg(F.count(F.lit(1)).alias("n_lines"),
-                                         F.array_sort(F.collect_list(F.when(F.col("again"), F.col("line_no")))).alias("removed"))
+    spots = stored(occurrences(documents).select("k", "tie", "line_no", "lid").distinct(), "spots", MANY_GROUPS)
+    grouped = stored(spots.join(roots.withColumnRenamed("node", "lid").hint("shuffle_hash"), "lid", "left").withColumn("root", F.coalesce("root", "lid")), "grouped")
+    # Only lines that occur again, or near which another does, are looked up; the least document of each comes by its number alone.
+    least = grouped.groupBy("root").agg(F.min("k").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    met = stored(grouped.join(least, "root"), "met")
+    place = F.struct("tie", "line_no")
+    first = met.filter("k = least").groupBy("root").agg(F.min(place).alias("first"))
+    again = met.join(first, "root").filter((F.col("k") > F.col("least")) | (place != F.col("first")))
+    removed = again.groupBy("k", "tie").agg(F.array_sort(F.collect_list("line_no")).alias("removed"))
+    counts = grouped.groupBy("k", "tie").agg(F.count(F.lit(1)).alias("n_lines"))
+    return counts.join(removed, ["k", "tie"], "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))
 
 
 def line_report(documents: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -120,3 +120,23 @@ def test_settings_hold_only_while_a_table_is_written(spark):
     before = [spark.conf.get(n, None) for n in names]
     assert lines.stored(spark.range(3), "three", lines.FEW_GROUPS | lines.MANY_GROUPS).count() == 3
     assert [spark.conf.get(n, None) for n in names] == before
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_are_counted_without_an_order(spark):
+    """Most band values belong to one line: a count finds them, neighbours in the order of lines are not needed."""
+    docs = spark.createDataFrame([(1, "the same line here\nanother one, alone"), (2, "the same line here!")], "doc_id long, text string")
+    found = lines.candidates(docs)
+    assert "lag(" not in plan_of(found) and "lead(" not in plan_of(found)
+    rows = {r.lid: r for r in lines.bands(lines.occurrences(docs).select("lid", "line")).groupBy("lid").agg({"key": "count"}).collect()}
+    assert all(len(r["keys"]) <= rows[r.lid]["count(key)"] and r.central >= 2 * len(r["keys"]) for r in found.collect())
+
+
+def test_sketches_do_not_shuffle_shingles(spark):
+    """The different shingles of a line are told apart inside its row; no aggregate has a group per shingle."""
+    few = spark.createDataFrame([(1, "abcdefgh" * 5), (2, "x" * 30)], "lid long, line string")
+    assert "array_distinct" in plan_of(lines.sketches(few))
+    assert {r.lid: r.size for r in lines.sketches(few).collect()} == {1: 8, 2: 1}
