@@ -192,3 +192,9 @@ def test_many_minutes_do_not_fill_the_worker(spark, tmp_path):
     states = spark.read.parquet(f"{out}/states")
     assert states.count() == minutes - 2 and states.select("window_start").distinct().count() == minutes - 2
     assert 0 < max(most) < 400
+
+
+def test_state_stores_share_one_bound(spark):
+    """Memory outside the heap does not grow with the partitions of an executor."""
+    prefix = "spark.sql.streaming.stateStore.rocksdb."
+    assert spark.conf.get(f"{prefix}boundedMemoryUsage") == "true" and int(spark.conf.get(f"{prefix}maxMemoryUsageMB")) <= 200
